@@ -46,9 +46,9 @@ def _present(value: Column) -> Column:
 # ---- surrogate ids ------------------------------------------------------------------
 
 
-def collect_ids(frames: Iterable[DataFrame]) -> DataFrame | None:
+def collect_ids(frames: Iterable[DataFrame]) -> DataFrame:
     """Distinct ``(kind, value)`` over the id columns and free text of all exports."""
-    found = []
+    frames, found = list(frames), []
     for frame in frames:
         for column, kind in identifying_columns(frame.columns).items():
             if kind in specs.SURROGATE_PREFIX:
@@ -59,52 +59,47 @@ def collect_ids(frames: Iterable[DataFrame]) -> DataFrame | None:
             ids = F.explode(F.regexp_extract_all("text", F.lit(_EMBEDDED), F.lit(1)))
             found.append(texts.select(F.lit("business_id").alias("kind"), ids.alias("value")))
     if not found:
-        return None
+        return frames[0].sparkSession.createDataFrame([], "kind string, value string")
     return reduce(DataFrame.union, found).filter(_present(F.col("value"))).distinct()
 
 
 def number_ids(ids: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Surrogates for distinct ids: a prefix by kind and a running number.
+    """Surrogates for distinct ids not in ``stored``: a prefix by kind, a running number.
 
-    Ids already in ``stored`` keep theirs; new ones go on after the highest number of
-    their kind. New ids are numbered in the order of their hash, which spreads them over
-    buckets of about equal size: each bucket is numbered on its own and starts where the
-    buckets before it end. The same ids always get the same numbers, so a recomputed
-    task cannot change them.
+    New ids go on after the highest stored number of their kind, in the order of their
+    hash. The hash spreads them over buckets of about equal size; each bucket is numbered
+    on its own and starts where the buckets before it end. The same ids always get the
+    same numbers, so a task that runs again cannot change them.
     """
-    bucket = F.conv(F.substring(F.md5("value"), 1, _BUCKET), 16, 10).cast("int")
     fresh = ids.select("kind", "value")
     if stored is not None:
         fresh = fresh.join(stored, ["kind", "value"], "left_anti")
-    fresh = fresh.withColumn("bucket", bucket)
+    fresh = fresh.withColumn("bucket", F.conv(F.substring(F.md5("value"), 1, _BUCKET), 16, 10).cast("int"))
 
     # at most 4096 rows per kind
     sizes = fresh.groupBy("kind", "bucket").agg(F.count(F.lit(1)).alias("size"))
     before = Window.partitionBy("kind").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "kind", "bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")
-    )
+    start = F.coalesce(F.sum("size").over(before), F.lit(0))
     if stored is not None:
-        taken = stored.groupBy("kind").agg(
-            F.max(F.substring("surrogate", 2, 18).cast("bigint")).alias("taken")
-        )
-        starts = starts.join(F.broadcast(taken), "kind", "left").select(  # one row per kind
-            "kind", "bucket", (F.col("start") + F.coalesce("taken", F.lit(0))).alias("start")
-        )
+        number = F.substring("surrogate", 2, 18).cast("bigint")
+        taken = stored.groupBy("kind").agg(F.max(number).alias("taken"))
+        sizes = sizes.join(F.broadcast(taken), "kind", "left")  # one row per kind
+        start = start + F.coalesce("taken", F.lit(0))
+    starts = sizes.select("kind", "bucket", start.alias("start"))
+
     within = Window.partitionBy("kind", "bucket").orderBy(F.md5("value"), "value")
     prefix = F.lit(specs.OTHER_PREFIX)
-    for kind, letter in specs.SURROGATE_PREFIX.items():
-        prefix = F.when(F.col("kind") == kind, letter).otherwise(prefix)
-    numbered = (
+    for kind, digit in specs.SURROGATE_PREFIX.items():
+        prefix = F.when(F.col("kind") == kind, digit).otherwise(prefix)
+    return (
         fresh.withColumn("nth", F.row_number().over(within))
-        .join(F.broadcast(starts), ["kind", "bucket"])  # bounded by the bucket count
+        .join(F.broadcast(starts), ["kind", "bucket"])  # bounded by the number of buckets
         .select(
             "kind",
             "value",
             F.format_string(f"%s%0{_DIGITS}d", prefix, F.col("start") + F.col("nth")).alias("surrogate"),
         )
     )
-    return numbered if stored is None else stored.select("kind", "value", "surrogate").union(numbered)
 
 
 def replace_ids(frame: DataFrame, column: str, kind: str, mapping: DataFrame) -> DataFrame:
@@ -291,14 +286,13 @@ def anonymise(frame: DataFrame, mapping: DataFrame, names: DataFrame | None) ->
 
 def anonymise_all(
     frames: Mapping[str, DataFrame], stored: DataFrame | None = None
-) -> tuple[dict[str, DataFrame], DataFrame | None]:
+) -> tuple[dict[str, DataFrame], DataFrame]:
     """All exports under one mapping, so that joins across them survive; and the mapping."""
-    ids, names = collect_ids(frames.values()), collect_names(frames.values())
-    if ids is None:
-        spark = next(iter(frames.values())).sparkSession
-        ids = spark.createDataFrame([], "kind string, value string")
-    mapping = cut(number_ids(ids, stored))
-    return {stem: anonymise(f, mapping, names) for stem, f in frames.items()}, mapping
+    mapping = number_ids(collect_ids(frames.values()), stored)
+    if stored is not None:
+        mapping = stored.select(*mapping.columns).union(mapping)
+    mapping, names = cut(mapping), collect_names(frames.values())
+    return {name: anonymise(f, mapping, names) for name, f in frames.items()}, mapping
 
 
 # ---- export names and statistics ----------------------------------------------------------

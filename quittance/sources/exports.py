@@ -37,6 +37,8 @@ def write_export(frame: DataFrame, path: str) -> None:
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
@@ -50,15 +52,23 @@ def dataset_name(file_name: str) -> str:
     return re.sub(specs.DATE_RANGE, "", re.sub(specs.UPLOAD_HASH, "", stem)).lower()
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
 def list_exports(spark: SparkSession, folder: str) -> dict[str, str]:
     """Data set name -> path of each export in a folder, on any Hadoop file system.
 
     Of several files with one data set name the last in name order counts.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(folder)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in system.listStatus(path))
+    system, where = _file_system(spark, folder)
+    names = sorted(s.getPath().getName() for s in system.listStatus(where))
     return {
         dataset_name(n): f"{folder.rstrip('/')}/{n}"
         for n in names
@@ -66,7 +76,8 @@ def list_exports(spark: SparkSession, folder: str) -> dict[str, str]:
     }
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.exists(hadoop_path)
+def committed_folders(spark: SparkSession, parent: str) -> list[str]:
+    """Names of the folders below ``parent`` whose write was completed."""
+    system, pattern = _file_system(spark, f"{parent.rstrip('/')}/*/_SUCCESS")
+    found = system.globStatus(pattern) or []
+    return sorted(s.getPath().getParent().getName() for s in found)

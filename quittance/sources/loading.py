@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quittance.functions import or_empty
-from quittance.sources.exports import path_exists, read_export
+from quittance.sources.exports import committed_folders, path_exists, read_export
 from quittance.sources.specs import (
     EXPORTS,
     LOAD_LOG,
@@ -159,14 +159,21 @@ class RawStore:
         self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        return f"{self.root}/{table.lstrip('_')}"  # a leading underscore hides a folder
+
+    def runs(self, table: str) -> list[str]:
+        """Runs whose rows are completely written."""
+        return committed_folders(self.spark, self.path(table))
 
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self.path(table))
+        return bool(self.runs(table))
 
-    def read(self, table: str) -> DataFrame:
-        # runs are plain folders: their names hold no partition value to guess a type for
-        return self.spark.read.option("recursiveFileLookup", True).parquet(self.path(table))
+    def read(self, table: str, *, without: str | None = None) -> DataFrame:
+        """A raw table, optionally without the rows of one run."""
+        paths = [f"{self.path(table)}/{run}" for run in self.runs(table) if run != without]
+        if not paths:
+            raise LookupError(f"{table} holds no completed run")
+        return self.spark.read.parquet(*paths)
 
     def log(self) -> DataFrame:
         return self.spark.read.schema(LOAD_LOG_SCHEMA).parquet(self.path(LOAD_LOG))
@@ -177,7 +184,8 @@ class RawStore:
         Counted while writing, after the join, so in the job's last stage: its tasks
         report once each, even when executors are lost and tasks run again.
         """
-        target = self.read(table) if self.exists(table) else None
+        earlier = [r for r in self.runs(table) if r != run.run_id]
+        target = self.read(table, without=run.run_id) if earlier else None
         order = None
         if target is not None:
             order = source_columns(target.columns)
