@@ -26,8 +26,12 @@ def clean_text(col: Column) -> Column:
 
 
 def to_amount(col: Column) -> Column:
-    """Money, leniently: what cannot be read is NULL and never 0."""
-    return clean_text(col).try_cast(AMOUNT)
+    """Money, leniently: what cannot be read is NULL and never 0.
+
+    The cast itself drops surrounding space and takes empty text for NULL. Setting the
+    export's own mark for a missing value aside spares it the failing parse.
+    """
+    return F.when(col != MISSING, col.try_cast(AMOUNT))
 
 
 def to_count(col: Column) -> Column:

@@ -14,10 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quittance.plans.lineage import cut
+from quittance.plans.lineage import broadcast_if_small, cut
 from quittance.sources import specs
 from quittance.sources.specs import quoted
 
+NAME = "name"
+NAME_KINDS = ("business_name", "store_name")
 MAPPING_SCHEMA = "kind string, value string, surrogate string"
 
 _DIGITS = 6
@@ -43,26 +45,46 @@ def _present(value: Column) -> Column:
     return value.isNotNull() & (value != "") & (F.upper(value) != "NULL")
 
 
-# ---- surrogate ids ------------------------------------------------------------------
+# ---- what identifies a business ---------------------------------------------------------
+
 
+def collect_identities(frames: Iterable[DataFrame]) -> DataFrame:
+    """Distinct ``(kind, value)`` over all exports: ids, ids in free text, and real names.
 
-def collect_ids(frames: Iterable[DataFrame]) -> DataFrame:
-    """Distinct ``(kind, value)`` over the id columns and free text of all exports."""
+    Each export is read once, whatever it holds, and few distinct values leave a task.
+    """
     frames, found = list(frames), []
     for frame in frames:
+        parts = []
         for column, kind in identifying_columns(frame.columns).items():
+            value = quoted(column)
             if kind in specs.SURROGATE_PREFIX:
-                found.append(frame.select(F.lit(kind).alias("kind"), quoted(column).alias("value")))
+                parts.append(F.array(F.struct(F.lit(kind).alias("kind"), value.alias("value"))))
+            elif kind in NAME_KINDS:
+                parts.append(F.array(F.struct(F.lit(NAME).alias("kind"), F.trim(value).alias("value"))))
         for column in free_text_columns(frame.columns):
-            # a text repeats on every day of its campaign
-            texts = frame.select(quoted(column).alias("text")).filter(_present(F.col("text"))).distinct()
-            ids = F.explode(F.regexp_extract_all("text", F.lit(_EMBEDDED), F.lit(1)))
-            found.append(texts.select(F.lit("business_id").alias("kind"), ids.alias("value")))
+            text = F.when(_present(quoted(column)), quoted(column)).otherwise("")
+            embedded = F.regexp_extract_all(text, F.lit(_EMBEDDED), F.lit(1))
+            as_id = lambda v: F.struct(F.lit("business_id").alias("kind"), v.alias("value"))
+            parts.append(F.transform(embedded, as_id))
+        if parts:
+            found.append(frame.select(F.inline(F.concat(*parts))))
     if not found:
         return frames[0].sparkSession.createDataFrame([], "kind string, value string")
     return reduce(DataFrame.union, found).filter(_present(F.col("value"))).distinct()
 
 
+def ids_of(identities: DataFrame) -> DataFrame:
+    return identities.filter(F.col("kind") != NAME)
+
+
+def names_of(identities: DataFrame) -> DataFrame:
+    return identities.filter(F.col("kind") == NAME).select(F.col("value").alias("name"))
+
+
+# ---- surrogate ids ------------------------------------------------------------------
+
+
 def number_ids(ids: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Surrogates for distinct ids not in ``stored``: a prefix by kind, a running number.
 
@@ -133,19 +155,6 @@ def replace_constants(frame: DataFrame) -> DataFrame:
 # ---- free text ------------------------------------------------------------------------
 
 
-def collect_names(frames: Iterable[DataFrame]) -> DataFrame | None:
-    """Distinct real business and store names over all exports."""
-    found = [
-        frame.select(F.trim(quoted(column)).alias("name"))
-        for frame in frames
-        for column, kind in identifying_columns(frame.columns).items()
-        if kind in ("business_name", "store_name")
-    ]
-    if not found:
-        return None
-    return reduce(DataFrame.union, found).filter(_present(F.col("name"))).distinct()
-
-
 def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     """``text, current`` with every embedded business id replaced.
 
@@ -177,7 +186,7 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def _first_name(state: DataFrame, names: DataFrame, head: int) -> DataFrame:
+def _first_name(state: DataFrame, names: DataFrame, heads: DataFrame, head: int) -> DataFrame:
     """Per text the first name still due: longest first, then in alphabetical order.
 
     Every position of a text whose first characters start some name is cut to the
@@ -185,9 +194,6 @@ def _first_name(state: DataFrame, names: DataFrame, head: int) -> DataFrame:
     one row per position and length, and each piece meets at most one name.
     """
     lower = F.lower("current")
-    heads = names.groupBy(F.substring("folded", 1, head).alias("head")).agg(
-        F.collect_set("length").alias("lengths")  # distinct lengths, bounded by the longest name
-    )
     spots = state.select(
         "text",
         "last",
@@ -200,12 +206,10 @@ def _first_name(state: DataFrame, names: DataFrame, head: int) -> DataFrame:
         .select("text", "last", "folded_text", "at", F.explode("lengths").alias("length"))
         .filter(F.col("at") + F.col("length") - 1 <= F.length("folded_text"))
         .select("text", "last", F.substring("folded_text", F.col("at"), F.col("length")).alias("folded"))
-        .distinct()
     )
-    order = F.struct((-F.col("length")).alias("rank"), F.col("folded"))
     return (
         pieces.join(names, "folded")
-        .withColumn("due", order)
+        .withColumn("due", F.struct((-F.col("length")).alias("rank"), F.col("folded")))
         .filter(F.col("last").isNull() | (F.col("due") > F.col("last")))
         .groupBy("text")
         .agg(F.min("due").alias("due"))
@@ -221,18 +225,21 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     texts that still hold a name take part. There are as many rounds as the fullest
     text holds names, plus the one that finds none.
     """
-    distinct = (
+    distinct = cut(
         names.select(F.lower("name").alias("folded")).distinct().withColumn("length", F.length("folded"))
     )
     head = distinct.agg(F.min("length")).first()[0]  # one number
     if head is None:
         return texts
-    distinct = cut(distinct)
+    by_head = distinct.groupBy(F.substring("folded", 1, head).alias("head")).agg(
+        F.collect_set("length").alias("lengths")  # distinct lengths, bounded by the longest name
+    )
+    heads, distinct = broadcast_if_small(cut(by_head)), broadcast_if_small(distinct)
     none_yet = F.lit(None).cast("struct<rank:int,folded:string>")
     active = cut(texts.withColumn("last", none_yet))
     finished = []
     while True:
-        due = _first_name(active, distinct, head)
+        due = _first_name(active, distinct, heads, head)
         marked = cut(active.join(due, "text", "left"))
         finished.append(marked.filter(F.col("due").isNull()).select("text", "current"))
         active = marked.filter(F.col("due").isNotNull())
@@ -250,18 +257,16 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, finished)
 
 
-def scrub_texts(texts: DataFrame, mapping: DataFrame, names: DataFrame | None) -> DataFrame:
+def scrub_texts(texts: DataFrame, mapping: DataFrame, names: DataFrame) -> DataFrame:
     """``text, scrubbed`` for distinct texts."""
     present = texts.filter(_present(F.col("text")))
-    clean = replace_embedded_ids(present, mapping)
-    if names is not None:
-        clean = remove_names(clean, names)
+    clean = remove_names(replace_embedded_ids(present, mapping), names)
     collapsed = F.regexp_replace("current", r"(?U)" + _SPACE + "{2,}", " ")
     return clean.select("text", F.btrim(collapsed, F.lit(_EDGES)).alias("scrubbed"))
 
 
 def scrub_column(
-    frame: DataFrame, column: str, mapping: DataFrame, names: DataFrame | None
+    frame: DataFrame, column: str, mapping: DataFrame, names: DataFrame
 ) -> DataFrame:
     """One free-text column; work is done once per distinct text."""
     texts = frame.select(quoted(column).alias("text")).distinct()
@@ -273,7 +278,7 @@ def scrub_column(
     return joined.select(*[value if c == column else quoted(c) for c in frame.columns])
 
 
-def anonymise(frame: DataFrame, mapping: DataFrame, names: DataFrame | None) -> DataFrame:
+def anonymise(frame: DataFrame, mapping: DataFrame, names: DataFrame) -> DataFrame:
     """One export with everything that identifies a business replaced."""
     result = frame
     for column, kind in identifying_columns(frame.columns).items():
@@ -288,10 +293,11 @@ def anonymise_all(
     frames: Mapping[str, DataFrame], stored: DataFrame | None = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All exports under one mapping, so that joins across them survive; and the mapping."""
-    mapping = number_ids(collect_ids(frames.values()), stored)
+    identities = cut(collect_identities(frames.values()))
+    mapping, names = number_ids(ids_of(identities), stored), names_of(identities)
     if stored is not None:
         mapping = stored.select(*mapping.columns).union(mapping)
-    mapping, names = cut(mapping), collect_names(frames.values())
+    mapping = cut(mapping)
     return {name: anonymise(f, mapping, names) for name, f in frames.items()}, mapping
 
 

@@ -74,6 +74,12 @@ def _cents_within(tolerance: Decimal | float | str) -> int:
     return int(steps) - 1
 
 
+def _bucket(amount: str, width: int) -> Column:
+    """Start of the amount's bucket, ``width`` cents wide, in cents."""
+    cents = (F.col(amount) * 100).cast("bigint")
+    return cents - F.pmod(cents, F.lit(width))
+
+
 def match_pairs(
     charges: DataFrame, credits: DataFrame, *, tolerance: Decimal | float | str = "0.005"
 ) -> DataFrame:
@@ -87,17 +93,16 @@ def match_pairs(
         .groupBy("delivery_uuid", "charge_amount")
         .agg(_earliest("charged_at", "charge_transaction_id").alias("charge"))
     )
-    if cents == 0:
-        reachable = F.col("charge_amount").alias("credit_amount")
-    else:
-        # one row per amount a credit may have; at most 2 * cents + 1 of them
-        band = F.sequence(F.lit(-cents), F.lit(cents))
-        offset = lambda i: (F.col("charge_amount") + i * F.lit(CENT)).cast("decimal(18,2)")
-        reachable = F.explode(F.transform(band, offset)).alias("credit_amount")
-    first = first.select("delivery_uuid", reachable, "charge")
-
-    later = credits.join(first, ["delivery_uuid", "credit_amount"]).filter(
-        F.col("credited_at") >= F.col("charge.at")
+    # Amounts within the tolerance lie in the same or a neighbouring bucket of that width.
+    width = cents + 1
+    first = first.withColumn("bucket", _bucket("charge_amount", width))
+    if cents > 0:
+        near = F.array(*[F.col("bucket") + step for step in (-width, 0, width)])
+        first = first.withColumn("bucket", F.explode(near))
+    later = credits.withColumn("bucket", _bucket("credit_amount", width)).join(first, ["delivery_uuid", "bucket"])
+    later = later.filter(
+        (F.col("credited_at") >= F.col("charge.at"))
+        & (F.abs(F.col("credit_amount") - F.col("charge_amount")) <= F.lit(cents * CENT))
     )
     chosen_credit = (
         later.filter(~F.col("charge.no_key"))

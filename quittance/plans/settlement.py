@@ -11,12 +11,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quittance.operators import anonymise as anon
 from quittance.operators import checks, dimensions, facts, netting, reconcile, recovery
 from quittance.operators.staging import stage
+from quittance.plans.lineage import cut
 from quittance.sources.exports import list_exports, path_exists, read_export, write_export
 from quittance.sources.loading import LoadResult, RawStore, Run, freshness
 from quittance.sources.specs import EXPORTS, LOAD_LOG
@@ -92,8 +93,8 @@ class Warehouse:
 
     # ---- anonymising ----
 
-    def anonymise_folder(self, folder: str, private: str) -> dict[str, int]:
-        """Anonymised copies of a folder's exports; data set -> identifying columns scrubbed.
+    def anonymise_folder(self, folder: str, private: str) -> dict[str, tuple[int, int]]:
+        """Anonymised copies of a folder's exports; data set -> rows written, columns scrubbed.
 
         The mapping lives in ``private``, outside anything published. Ids already mapped
         keep their surrogates; new ones are appended.
@@ -104,13 +105,18 @@ class Warehouse:
         where = f"{private.rstrip('/')}/surrogate_mapping"
         known = path_exists(self.spark, where)
         stored = self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(where) if known else None
-        anon.number_ids(anon.collect_ids(frames.values()), stored).write.mode("append").parquet(where)
+        identities = cut(anon.collect_identities(frames.values()))
+        anon.number_ids(anon.ids_of(identities), stored).write.mode("append").parquet(where)
         # read back: its size is known now, which decides how it is joined
         mapping = self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(where)
-        names = anon.collect_names(frames.values())
+        names = anon.names_of(identities)
+        written = {}
         for name, frame in frames.items():
-            write_export(anon.anonymise(frame, mapping, names), self.path("anonymised", f"{name}.csv"))
-        return {name: anon.scrubbed_columns(frame) for name, frame in frames.items()}
+            rows = Observation(f"anonymised-{name}")
+            clean = anon.anonymise(frame, mapping, names).observe(rows, F.count(F.lit(1)).alias("rows"))
+            write_export(clean, self.path("anonymised", f"{name}.csv"))
+            written[name] = (rows.get["rows"], anon.scrubbed_columns(frame))
+        return written
 
     # ---- loading ----
 

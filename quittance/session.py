@@ -10,4 +10,7 @@ CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A staging projection casts over twenty columns. Fused into one method it outgrows
+    # what the JVM compiles (8000 bytes of bytecode) and would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -62,6 +62,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes stored at a path."""
+    system, where = _file_system(spark, path)
+    return system.getContentSummary(where).getLength()
+
+
 def list_exports(spark: SparkSession, folder: str) -> dict[str, str]:
     """Data set name -> path of each export in a folder, on any Hadoop file system.
 

@@ -99,24 +99,32 @@ def with_load_columns(
     return stamped.withColumn(ROW_HASH, row_hash(columns))
 
 
-def mark_new(incoming: DataFrame, target: DataFrame | None) -> DataFrame:
-    """``incoming`` with ``_is_new``: is the row's hash absent from the target?
+def new_hashes(incoming: DataFrame, target: DataFrame) -> DataFrame:
+    """Distinct hashes of ``incoming`` that the target does not hold.
 
-    Only the target's hash column is read, reduced to distinct hashes before the shuffle
-    the join needs anyway. A hash with many copies is then a hot key on the incoming
-    side alone, which adaptive execution can split.
+    Reads and shuffles hashes only, each side reduced to distinct ones first.
     """
-    if target is None:
+    known = target.select(ROW_HASH).distinct()
+    return incoming.select(ROW_HASH).distinct().join(known, ROW_HASH, "left_anti")
+
+
+def mark_new(incoming: DataFrame, fresh: DataFrame | None) -> DataFrame:
+    """``incoming`` with ``_is_new``: is the row's hash among the fresh ones?
+
+    Exports are cumulative, so fresh hashes are few as a rule. Stored beforehand, their
+    size is known: small, they are broadcast and the wide rows are not shuffled at all.
+    """
+    if fresh is None:
         return incoming.withColumn("_is_new", F.lit(True))
-    known = target.select(F.col(ROW_HASH).alias("__known")).distinct()
-    return incoming.join(known, F.col(ROW_HASH) == F.col("__known"), "left").select(
-        *[quoted(c) for c in incoming.columns], F.col("__known").isNull().alias("_is_new")
+    wanted = fresh.select(F.col(ROW_HASH).alias("__fresh"))
+    return incoming.join(wanted, F.col(ROW_HASH) == F.col("__fresh"), "left").select(
+        *[quoted(c) for c in incoming.columns], F.col("__fresh").isNotNull().alias("_is_new")
     )
 
 
-def append_new(incoming: DataFrame, target: DataFrame | None) -> DataFrame:
+def append_new(incoming: DataFrame, target: DataFrame) -> DataFrame:
     """The incoming rows whose hash the target does not hold."""
-    return mark_new(incoming, target).filter("_is_new").drop("_is_new")
+    return mark_new(incoming, new_hashes(incoming, target)).filter("_is_new").drop("_is_new")
 
 
 def load_counts(marked: DataFrame) -> DataFrame:
@@ -195,7 +203,12 @@ class RawStore:
                     f"{file_name}: columns missing {sorted(set(order) - set(arrived))}, "
                     f"new {sorted(set(arrived) - set(order))}"
                 )
-        marked = mark_new(with_load_columns(export, file_name, run, order), target)
+        incoming, fresh = with_load_columns(export, file_name, run, order), None
+        if target is not None:
+            where = f"{self.root}/new_hashes/{table}/{run.run_id}"
+            new_hashes(incoming, target).write.mode("overwrite").parquet(where)
+            fresh = self.spark.read.schema(f"{ROW_HASH} string").parquet(where)
+        marked = mark_new(incoming, fresh)
         counts = Observation(f"{table}-{run.run_id}")
         observed = marked.observe(
             counts, F.count(F.lit(1)).alias("rows"), F.count_if("_is_new").alias("new")

@@ -53,7 +53,9 @@ def test_no_identity_is_left(spark, folders, house):
 def test_mapping_is_stable_over_runs(spark, folders, house, first):
     where = str(folders / "private" / "surrogate_mapping")
     before = sorted(spark.read.parquet(where).collect())
-    house.anonymise_folder(str(folders / "exports"), str(folders / "private"))
+    written = house.anonymise_folder(str(folders / "exports"), str(folders / "private"))
+    assert written["sales_by_order"] == (168, 6) and written["product_mix"] == (4, 5)
+    assert written["marketing_promotion"] == (6, 2)
     assert sorted(spark.read.parquet(where).collect()) == before
     assert {tuple(r) for r in before} == {("business_id", "1204", "9000001"), ("store_id", "77", "8000001")}
 

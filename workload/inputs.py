@@ -9,7 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
+from quittance.sources.exports import size_of
+
+# A row group is the least a scan can split. Below this size spreading costs more than it gains.
+ROW_GROUP, SPREAD_FROM = 128 << 20, 8 << 20
+KEYS = {
+    "customer": ("c_custkey",),
+    "supplier": ("s_suppkey",),
+    "part": ("p_partkey",),
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_partkey"),
+    "events": ("event_id",),
+}
+TABLES = tuple(KEYS)
 
 # Payouts fall on the first Thursday on or after the day, plus a week.
 _SPARK = {
@@ -285,6 +297,9 @@ def duck(template: str) -> str:
     return template.format(**names, **_DUCK).replace("`", '"')
 
 
+_FOOTERS: dict[str, tuple] = {}  # schema and size by path, so that each file is opened for them once
+
+
 class Tables:
     """The driver's tables of one scale factor, and the raw exports derived from them."""
 
@@ -292,7 +307,15 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table, spread over the cores where its file has too few row groups for them."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _FOOTERS:
+            _FOOTERS[path] = (self.spark.read.parquet(path).schema, size_of(self.spark, path))
+        schema, size = _FOOTERS[path]
+        frame, cores = self.spark.read.schema(schema).parquet(path), self.spark.sparkContext.defaultParallelism
+        if SPREAD_FROM < size < cores * ROW_GROUP:
+            return frame.repartition(cores, *KEYS[name])
+        return frame
 
     def sql(self, template: str) -> DataFrame:
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in template}

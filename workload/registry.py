@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quittance.operators import anonymise, checks, dimensions, facts, netting, reconcile, recovery, reports, staging
+from quittance.plans.lineage import cut
 from quittance.sources import loading
 from workload.inputs import Tables
 
@@ -203,7 +204,7 @@ def row_hash_append(t: Tables) -> DataFrame:
 
 def load_counts(t: Tables) -> DataFrame:
     base, incoming = _loaded(t)
-    return loading.load_counts(loading.mark_new(incoming, base))
+    return loading.load_counts(loading.mark_new(incoming, loading.new_hashes(incoming, base)))
 
 
 def freshness(t: Tables) -> DataFrame:
@@ -232,18 +233,19 @@ def export_names(t: Tables) -> DataFrame:
 
 
 def surrogate_ids(t: Tables) -> DataFrame:
-    return anonymise.number_ids(anonymise.collect_ids([t.raw("scrub_source")]))
+    return anonymise.number_ids(anonymise.ids_of(anonymise.collect_identities([t.raw("scrub_source")])))
 
 
 def real_names(t: Tables) -> DataFrame:
-    return anonymise.collect_names([t.raw("scrub_source")])
+    return anonymise.names_of(anonymise.collect_identities([t.raw("scrub_source")]))
 
 
 def scrub_text(t: Tables) -> DataFrame:
     source = t.raw("scrub_source")
-    mapping = anonymise.number_ids(anonymise.collect_ids([source]))
+    identities = cut(anonymise.collect_identities([source]))
     texts = source.select(F.col("`Campaign name`").alias("text")).distinct()
-    scrubbed = anonymise.scrub_texts(texts, mapping, anonymise.collect_names([source]))
+    mapping = anonymise.number_ids(anonymise.ids_of(identities))
+    scrubbed = anonymise.scrub_texts(texts, mapping, anonymise.names_of(identities))
     return (
         texts.filter(F.col("text").isNotNull())
         .join(scrubbed, "text", "left")
