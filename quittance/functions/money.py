@@ -25,8 +25,9 @@ def round_away(col: Column, places: int) -> Column:
     ``F.round(col, places)`` rounds the shortest decimal form instead, and so takes
     1.005 to 1.01; the scaled binary value of 1.005 is just below 100.5.
     """
-    scale = float(10**places)
-    return F.round(col * F.lit(scale), 0) / F.lit(scale)
+    scale = F.lit(float(10**places))
+    # the sign goes on last, so that a small negative becomes -0.0 as in the warehouse
+    return F.signum(col) * (F.round(F.abs(col) * scale, 0) / scale)
 
 
 def per_unit(part: Column, whole: Column, places: int, *, times: int = 1) -> Column:

@@ -186,44 +186,51 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def _first_name(state: DataFrame, names: DataFrame, heads: DataFrame, head: int) -> DataFrame:
-    """Per text the first name still due: longest first, then in alphabetical order.
+def _names_due(state: DataFrame, names: DataFrame, heads: DataFrame, head: int) -> DataFrame:
+    """``state`` with a row per name found in ``current`` that comes after ``last``.
 
-    Every position of a text whose first characters start some name is cut to the
-    lengths such names have, and the pieces meet the names by equality. That is at most
-    one row per position and length, and each piece meets at most one name.
+    Names go longest first, then in alphabetical order. Every position of a text whose
+    first characters start some name is cut to the lengths such names have, and the
+    pieces meet the names by equality. That is at most one row per position and length,
+    and each piece meets at most one name.
     """
     lower = F.lower("current")
     spots = state.select(
-        "text",
-        "last",
+        *state.columns,
         lower.alias("folded_text"),
         F.explode(F.sequence(F.lit(1), F.greatest(F.length(lower), F.lit(1)))).alias("at"),
     ).withColumn("head", F.substring("folded_text", F.col("at"), F.lit(head)))
     pieces = (
         spots.filter(F.length("head") == head)
         .join(heads, "head")
-        .select("text", "last", "folded_text", "at", F.explode("lengths").alias("length"))
+        .withColumn("length", F.explode("lengths"))
         .filter(F.col("at") + F.col("length") - 1 <= F.length("folded_text"))
-        .select("text", "last", F.substring("folded_text", F.col("at"), F.col("length")).alias("folded"))
+        .withColumn("folded", F.substring("folded_text", F.col("at"), F.col("length")))
     )
+    name = F.struct((-F.col("length")).alias("rank"), F.col("folded"))
     return (
-        pieces.join(names, "folded")
-        .withColumn("due", F.struct((-F.col("length")).alias("rank"), F.col("folded")))
-        .filter(F.col("last").isNull() | (F.col("due") > F.col("last")))
-        .groupBy("text")
-        .agg(F.min("due").alias("due"))
+        pieces.select(*state.columns, "folded", "length")
+        .join(names.select("folded"), "folded")
+        .select(*state.columns, name.alias("name"))
+        .filter(F.col("last").isNull() | (F.col("name") > F.col("last")))
     )
 
 
+def _without(text: Column, name: Column) -> Column:
+    literal = F.regexp_replace(name["folded"], r"\\E", r"\\E\\\\E\\Q")
+    before = _SPACE + "*[-–—]?" + _SPACE + "*"
+    return F.regexp_replace(text, F.concat(F.lit(r"(?iU)" + before + r"\Q"), literal, F.lit(r"\E")), F.lit(""))
+
+
 def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     """``text, current`` without any real name, ignoring case.
 
     Names go longest first, so that a store's full name goes before the business name
-    inside it, each with a dash and spaces in front of it. Taking one out can bring
-    another together, so each round removes one name per text and looks again; only
-    texts that still hold a name take part. There are as many rounds as the fullest
-    text holds names, plus the one that finds none.
+    inside it, each with a dash and spaces in front of it. A round finds the names of
+    each text and takes them out one after the other. Taking one out can bring another
+    together, so the text after each step is searched again: where a name turns up that
+    is still due and was not there before, the text goes on from that step in the next
+    round. Rarely is there one.
     """
     distinct = cut(
         names.select(F.lower("name").alias("folded")).distinct().withColumn("length", F.length("folded"))
@@ -236,25 +243,46 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     )
     heads, distinct = broadcast_if_small(cut(by_head)), broadcast_if_small(distinct)
     none_yet = F.lit(None).cast("struct<rank:int,folded:string>")
-    active = cut(texts.withColumn("last", none_yet))
-    finished = []
+    active, finished = texts.withColumn("last", none_yet), []
     while True:
-        due = _first_name(active, distinct, heads, head)
-        marked = cut(active.join(due, "text", "left"))
-        finished.append(marked.filter(F.col("due").isNull()).select("text", "current"))
-        active = marked.filter(F.col("due").isNotNull())
-        if active.isEmpty():
-            break
-        literal = F.regexp_replace(F.col("due.folded"), r"\\E", r"\\E\\\\E\\Q")
-        pattern = F.concat(
-            F.lit(r"(?iU)" + _SPACE + "*[-–—]?" + _SPACE + r"*\Q"), literal, F.lit(r"\E")
+        found = (
+            _names_due(active, distinct, heads, head)
+            .groupBy("text")
+            .agg(F.array_sort(F.collect_set("name")).alias("names"))  # those of one text
+        )
+        after_each = F.aggregate(
+            "names",
+            F.array("current"),
+            lambda done, name: F.concat(done, F.array(_without(F.element_at(done, -1), name))),
+        )
+        steps = cut(
+            active.join(found, "text", "left").select(
+                "text", "names", F.coalesce(after_each, F.array("current")).alias("steps")
+            )
+        )
+        between = (
+            steps.filter(F.col("names").isNotNull())
+            .select("text", "names", F.posexplode("steps").alias("step", "current"))
+            .filter(F.col("step") > 0)
+            .withColumn("last", F.element_at("names", F.col("step")))
+        )
+        born = cut(
+            _names_due(between, distinct, heads, head)
+            .filter(~F.array_contains("names", F.col("name")))
+            .groupBy("text")
+            .agg(F.min("step").alias("step"))
+        )
+        ended = steps.join(born, "text", "left")
+        finished.append(
+            ended.filter(F.col("step").isNull()).select("text", F.element_at("steps", -1).alias("current"))
         )
-        active = active.select(
+        if born.isEmpty():
+            return reduce(DataFrame.union, finished)
+        active = ended.filter(F.col("step").isNotNull()).select(
             "text",
-            F.regexp_replace("current", pattern, F.lit("")).alias("current"),
-            F.col("due").alias("last"),
+            F.element_at("steps", F.col("step") + 1).alias("current"),
+            F.element_at("names", F.col("step")).alias("last"),
         )
-    return reduce(DataFrame.union, finished)
 
 
 def scrub_texts(texts: DataFrame, mapping: DataFrame, names: DataFrame) -> DataFrame:

@@ -102,8 +102,9 @@ def test_rate_without_a_positive_whole_is_null(spark):
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(-10**9, 10**9), min_size=1, max_size=200))
 def test_rounds_like_the_warehouse(spark, thousandths):
-    numbers = [n / 1000 for n in thousandths] + [1.005, -1.005, 2.675, 0.125, -0.125]
+    numbers = [n / 1000 for n in thousandths] + [1.005, -1.005, 2.675, 0.125, -0.125, -0.001, 0.0, -0.0]
     frame = spark.createDataFrame(list(enumerate(numbers)), "i int, v double")
     mine = [r.x for r in sorted(frame.select("i", q.round_away(F.col("v"), 2).alias("x")).collect())]
     connection = duckdb.connect()
-    assert mine == [connection.execute("select round($1::double, 2)", [n]).fetchone()[0] for n in numbers]
+    theirs = [connection.execute("select round($1::double, 2)", [n]).fetchone()[0] for n in numbers]
+    assert list(map(repr, mine)) == list(map(repr, theirs))

@@ -100,15 +100,15 @@ select
     + ") x"
 )
 
-# One payout per supplier, date and channel. The statement differs from the ledger at the
+# One payout per store, date and channel, a store being twenty suppliers. The statement differs from the ledger at the
 # opening edge (settles more), at the closing edge (settles less) and by a commission cent.
 PAYOUTS = (
     """
 select
-  concat('P', cast(l_suppkey as string), '-', replace(cast(payday as string), '-', '')) as `Payout ID`,
+  concat('P', cast(store as string), '-', replace(cast(payday as string), '-', '')) as `Payout ID`,
   cast(payday as string) as `Payout date`,
   channel as `Channel`,
-  case when l_suppkey % 50 = 7 then 'PENDING' else ' PAID' end as `Payout status`,
+  case when store % 100 = 40 then 'PENDING' else ' PAID' end as `Payout status`,
   'USD' as `Currency`,
   cast(sub as string) as `Subtotal`,
   cast(tax as string) as `Subtotal tax passed to merchant`,
@@ -124,16 +124,16 @@ select
   cast(err as string) as `Error charges`,
   cast(adj as string) as `Adjustments`,
   cast(sub + tax + tip + com + err + adj - cast(0.25 as decimal(18,2))
-       + case when l_suppkey % 40 = 3 then cast(0.01 as decimal(18,2)) else cast(0 as decimal(18,2)) end
+       + case when store % 100 = 60 then cast(0.01 as decimal(18,2)) else cast(0 as decimal(18,2)) end
        as string) as `Net total`,
   """
     + _LINEAGE.format(
         file="financial_payout_summary.csv",
-        key="cast(l_suppkey as string), '|', cast(payday as string), '|', channel",
+        key="cast(store as string), '|', cast(payday as string), '|', channel",
     )
     + """
 from (
-  select l_suppkey, payday, channel,
+  select l_suppkey - l_suppkey % 20 as store, payday, channel,
     sum(case when payday <= date '1995-01-19' and l_returnflag = 'N' then sub + cast(10.00 as decimal(18,2))
              when payday >= date '2001-11-08' and l_linenumber = 1 then cast(0 as decimal(18,2))
              else sub end) as sub,
@@ -146,7 +146,7 @@ from (
   from ("""
     + _LINES
     + """) x
-  group by l_suppkey, payday, channel
+  group by l_suppkey - l_suppkey % 20, payday, channel
 ) y"""
 )
 
