@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quittance.plans.lineage import broadcast_if_small, cut
+from quittance.plans.lineage import BROADCAST_ROWS, broadcast_if_small, cut
 from quittance.sources import specs
 from quittance.sources.specs import quoted
 
@@ -235,13 +235,15 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     distinct = cut(
         names.select(F.lower("name").alias("folded")).distinct().withColumn("length", F.length("folded"))
     )
-    head = distinct.agg(F.min("length")).first()[0]  # one number
-    if head is None:
+    head, count = distinct.agg(F.min("length"), F.count("length")).first()
+    if count == 0:
         return texts
-    by_head = distinct.groupBy(F.substring("folded", 1, head).alias("head")).agg(
+    heads = distinct.groupBy(F.substring("folded", 1, head).alias("head")).agg(
         F.collect_set("length").alias("lengths")  # distinct lengths, bounded by the longest name
     )
-    heads, distinct = broadcast_if_small(cut(by_head)), broadcast_if_small(distinct)
+    # there are no more heads than names
+    heads = heads if count <= BROADCAST_ROWS else cut(heads)
+    heads, distinct = (broadcast_if_small(f, count, BROADCAST_ROWS) for f in (heads, distinct))
     none_yet = F.lit(None).cast("struct<rank:int,folded:string>")
     active, finished = texts.withColumn("last", none_yet), []
     while True:

@@ -28,10 +28,10 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def broadcast_if_small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint for a stored frame of narrow rows that is known to be small.
+def broadcast_if_small(stored: DataFrame, rows: int, limit: int) -> DataFrame:
+    """A broadcast hint for a frame of narrow rows if its counted ``rows`` allow it.
 
-    Counting stops past the limit. A larger frame is joined by shuffling, where adaptive
-    execution splits skewed keys, since a stored frame brings no partitioning of its own.
+    A larger frame is joined by shuffling. Stored, it brings no partitioning of its own,
+    so both sides are shuffled and adaptive execution can split skewed keys.
     """
-    return F.broadcast(stored) if stored.limit(rows + 1).count() <= rows else stored
+    return F.broadcast(stored) if rows <= limit else stored
