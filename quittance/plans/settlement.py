@@ -19,7 +19,7 @@ from quittance.operators import checks, dimensions, facts, netting, reconcile, r
 from quittance.operators.staging import stage
 from quittance.plans.lineage import cut
 from quittance.sources.exports import list_exports, path_exists, read_export, write_export
-from quittance.sources.loading import LoadResult, RawStore, Run, freshness
+from quittance.sources.loading import OK, LoadResult, RawStore, Run, freshness
 from quittance.sources.specs import EXPORTS, LOAD_LOG
 
 STAGED = {e.staged: e for e in EXPORTS if e.staged}
@@ -185,6 +185,14 @@ class Warehouse:
         return self.spark.read.parquet(self.path("builds", run_id, mart))
 
 
+class IncompleteLoad(RuntimeError):
+    """Some exports were missing or could not be loaded; the others were."""
+
+
+class StaleSource(RuntimeError):
+    """Some raw table has had no new rows for too long."""
+
+
 @dataclass(frozen=True)
 class Outcome:
     run_id: str
@@ -196,17 +204,27 @@ class Outcome:
 def run(
     spark: SparkSession, exports: str, warehouse: str, *, private: str | None = None, at: Run | None = None
 ) -> Outcome:
-    """Anonymise (if ``private`` says where the mapping goes), load, build, check, publish."""
+    """Anonymise (if ``private`` says where the mapping goes), load, build, check, publish.
+
+    Fails closed: nothing is built on an incomplete load or a stale source, and nothing
+    is published on a failed control.
+    """
     house, this_run = Warehouse(spark, warehouse), at or Run.now()
     folder = exports
     if private is not None:
         house.anonymise_folder(exports, private)
         folder = house.path("anonymised")
     loads = house.load(folder, this_run)
+    failed = [f"{r.source_file} {r.status}: {r.message}" for r in loads if r.status != OK]
+    if failed:
+        raise IncompleteLoad("; ".join(failed))
+    stale = house.freshness(this_run.loaded_at).filter("status = 'error'").collect()  # a row per table
+    if stale:
+        raise StaleSource(", ".join(f"{r.source_table} since {r.newest_load}" for r in stale))
+
     built = house.build(this_run.run_id)
-    outcomes = house.check(built)
     # stored, so that the gate and the reader of the result see the same outcome
     where = house.path("builds", this_run.run_id, "checks")
-    outcomes.coalesce(1).write.mode("overwrite").parquet(where)
-    stored = spark.read.parquet(where)
-    return Outcome(this_run.run_id, loads, stored, house.publish(this_run.run_id, stored))
+    house.check(built).coalesce(1).write.mode("overwrite").parquet(where)
+    outcomes = spark.read.parquet(where)
+    return Outcome(this_run.run_id, loads, outcomes, house.publish(this_run.run_id, outcomes))

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from scenarios import IDENTITY, Scenario
 
-from quittance.plans.settlement import MARTS, Warehouse, run
+from quittance.plans.settlement import MARTS, IncompleteLoad, StaleSource, Warehouse, run
 from quittance.sources.loading import Run
 
 FIRST = Run(datetime(2025, 3, 1, 6))
@@ -92,14 +92,25 @@ def test_failed_control_keeps_the_earlier_build_published(spark, tmp_path):
     assert warehouse.read_published("fct_payouts").count() == 12
 
 
-def test_missing_export_blocks_publishing(spark, tmp_path):
+def test_missing_export_stops_the_run(spark, tmp_path):
     Scenario().write(tmp_path / "exports")
     house = str(tmp_path / "house")
     run(spark, str(tmp_path / "exports"), house, at=FIRST)
     (tmp_path / "exports" / "product_mix.csv").unlink()
-    second = run(spark, str(tmp_path / "exports"), house, at=NEXT)
-    assert {r["check"] for r in second.checks.filter("status = 'fail'").collect()} == {"last load clean"}
-    assert not second.published
+    with pytest.raises(IncompleteLoad, match="product_mix.csv MISSING"):
+        run(spark, str(tmp_path / "exports"), house, at=NEXT)
+    # a build made all the same would not pass its controls
+    warehouse = Warehouse(spark, house)
+    outcomes = warehouse.check(warehouse.build(NEXT.run_id))
+    assert {r["check"] for r in outcomes.filter("status = 'fail'").collect()} == {"last load clean"}
+    assert not warehouse.publish(NEXT.run_id, outcomes)
+    assert warehouse.published_run() == FIRST.run_id
+
+
+def test_stale_source_stops_the_run(spark, folders, first):
+    late = Run(FIRST.loaded_at + timedelta(hours=73))
+    with pytest.raises(StaleSource, match="orders since 2025-03-01"):
+        run(spark, str(folders / "house" / "anonymised"), str(folders / "house"), at=late)
 
 
 def test_nothing_published_yet(spark, tmp_path):

@@ -127,22 +127,54 @@ def test_aging_buckets(spark):
     ]
 
 
-def test_never_lists_pairs(spark):
-    """A busy delivery: the join yields at most one row per credit."""
-    spread = F.col("id")
-    common = [F.lit("o").alias("order_id"), (spread.cast("string") < "~").cast("string").alias("delivery_uuid")]
-    rows = spark.range(40_000).select(
-        F.concat(F.lit("t"), spread.cast("string")).alias("transaction_id"),
-        *common,
-        F.when(spread % 2 == 0, "Error Charge").otherwise("Adjustment").alias("transaction_type"),
+def busy_delivery(spark, n):
+    """One delivery and one amount for every row, charges and credits in turn."""
+    key = F.col("id")
+    return spark.range(n).select(
+        F.concat(F.lit("t"), key.cast("string")).alias("transaction_id"),
+        F.lit("o").alias("order_id"),
+        (key.cast("string") < "~").cast("string").alias("delivery_uuid"),
+        F.when(key % 2 == 0, "Error Charge").otherwise("Adjustment").alias("transaction_type"),
         F.lit("Marketplace").alias("channel"),
         F.lit("x").alias("description"),
         F.expr("timestamp_ntz'2025-01-06 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("event_at"),
         F.lit(None).cast("date").alias("payout_date"),
-        (-5 - spread * 0).cast("decimal(18,2)").alias("error_charge_amount"),
-        (5 + spread * 0).cast("decimal(18,2)").alias("adjustment_amount"),
+        (-5 - key * 0).cast("decimal(18,2)").alias("error_charge_amount"),
+        (5 + key * 0).cast("decimal(18,2)").alias("adjustment_amount"),
     )
-    out = recovery.recover(rows)
+
+
+def executed_plan(frame):
+    """The plan adaptive execution ended up with."""
+    execution = frame._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_never_lists_pairs(spark):
+    out = recovery.recover(busy_delivery(spark, 40_000))
     assert out.filter("is_recovered").count() == 1
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = executed_plan(out)
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Window" not in plan
+
+
+def test_busy_delivery_is_split(spark, tmp_path):
+    """Where the join shuffles, the hot key's rows are spread over several tasks."""
+    busy_delivery(spark, 300_000).union(
+        busy_delivery(spark, 300_000).withColumn("delivery_uuid", F.col("transaction_id"))
+    ).repartition(8).write.parquet(str(tmp_path / "entries"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        plan = executed_plan(recovery.recover(spark.read.parquet(str(tmp_path / "entries"))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
