@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quittance.sources.exports import size_of
 
 # A row group is the least a scan can split. Below this size spreading costs more than it gains.
-ROW_GROUP, SPREAD_FROM = 128 << 20, 2 << 20
+ROW_GROUP, SPREAD_FROM = 128 << 20, 1 << 20
 KEYS = {
     "customer": ("c_custkey",),
     "supplier": ("s_suppkey",),
