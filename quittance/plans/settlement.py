@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -124,15 +125,17 @@ class Warehouse:
         return self.raw.load_folder(folder, run)
 
     def freshness(self, now: datetime | None = None) -> DataFrame:
-        """Age of every raw table's newest load, the load log included."""
+        """Age of every raw table's newest load, the load log included.
+
+        A table never loaded is an error like one loaded too long ago.
+        """
+        never = self.spark.createDataFrame([], "_loaded_at timestamp_ntz")
         ages = [
-            freshness(self.raw.read(e.table), e.table, now=now) for e in EXPORTS if self.raw.exists(e.table)
+            freshness(self.raw.read(e.table) if self.raw.exists(e.table) else never, e.table, now=now)
+            for e in EXPORTS
         ]
-        ages.append(freshness(self.raw.log(), LOAD_LOG, now=now, loaded_at="loaded_at"))
-        result = ages[0]
-        for age in ages[1:]:
-            result = result.union(age)
-        return result
+        log = freshness(self.raw.log(), LOAD_LOG, now=now, loaded_at="loaded_at")
+        return reduce(DataFrame.union, ages, log)
 
     # ---- building ----
 

@@ -30,7 +30,9 @@ def _cents(value) -> Decimal:
 
 
 def payday(day: date) -> date:
-    return day + timedelta(days=(3 - day.weekday()) % 7 + 7)
+    """The first Thursday from ``day`` on, and a week more."""
+    week = (day + timedelta(days=n) for n in range(7))
+    return next(d for d in week if d.isoweekday() == 4) + timedelta(days=7)
 
 
 def _blank(export: specs.Export) -> dict[str, str]:

@@ -113,6 +113,15 @@ def test_stale_source_stops_the_run(spark, folders, first):
         run(spark, str(folders / "house" / "anonymised"), str(folders / "house"), at=late)
 
 
+def test_table_never_loaded_is_stale(spark, tmp_path):
+    Scenario().write(tmp_path / "exports")
+    (tmp_path / "exports" / "product_mix.csv").unlink()
+    house = Warehouse(spark, str(tmp_path / "house"))
+    house.load(str(tmp_path / "exports"), FIRST)
+    found = {r.source_table: r.status for r in house.freshness(FIRST.loaded_at).collect()}
+    assert found.pop("product_mix") == "error" and set(found.values()) == {"pass"}
+
+
 def test_nothing_published_yet(spark, tmp_path):
     with pytest.raises(LookupError):
         Warehouse(spark, str(tmp_path / "house")).read_published(MARTS[0])
