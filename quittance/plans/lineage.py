@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -12,19 +12,25 @@ BROADCAST_ROWS = 200_000
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """A checkpoint of ``frame`` in the folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that the cluster names and all executors share.
 
     Only where the session names none, as in tests, is a temporary folder set.
     """
-    context = frame.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = frame.sparkSession.conf.get(CHECKPOINT_DIR, None)
+        folder = spark.conf.get(CHECKPOINT_DIR, None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="quittance-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """A checkpoint of ``frame`` in the shared folder."""
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
