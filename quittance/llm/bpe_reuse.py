@@ -8,12 +8,13 @@ agree with those of both chunks at its edges; the ids are then those of the whol
 
 How it runs on Spark:
 
-1. Count the hashes of all chunks (combined on the map side). A bounded bit map of the
-   repeated ones goes to the tasks.
+1. Count the hashes of all chunks (combined on the map side). Bounded bit maps of those found
+   more than once, and of those found in different texts, go to the tasks.
 2. Texts without a repeated chunk, usually most of them, are encoded where they are read.
-3. The other texts are stored once per distinct text. Their chunks are reduced to distinct
-   ones, encoded, and joined back by hash; a chunk that very many texts contain is a skewed
-   key of a join whose other side has one row for it, which adaptive execution splits.
+3. The other texts are stored once per distinct text, which is all that copies need. Chunks
+   that different texts share are reduced to distinct ones, encoded, and joined back by hash;
+   a chunk that very many texts contain is a skewed key of a join whose other side has one
+   row for it, which adaptive execution splits. Only these chunks and their texts move.
 4. Results meet the documents by the hash of the text, so copies are encoded once and rows
    with equal or missing ids need no care.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quittance.llm import tokens
-from quittance.llm.common import Bits, rows, slices, store, text_buffers, text_keys, text_list
+from quittance.llm.common import Bits, rows, slices, store, text_buffers, text_keys
 
 #: Chunk lengths in bytes: mean between cuts (a power of 2), least, most.
 MEAN, LEAST, MOST = 1024, 256, 8192
@@ -142,33 +144,30 @@ def chunked(batch: pa.RecordBatch) -> list[tuple[bytes, list[bytes]]]:
     return found
 
 
-def _hashes(chunks: list[bytes]) -> np.ndarray:
-    return text_keys(chunks)
-
-
 def _chunk_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64())])
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("k1", pa.int64())])
     for batch in slices(batches, "text"):
-        keys = _hashes([c for _, chunks in chunked(batch) for c in chunks])
-        yield rows(schema, keys[:, 0], keys[:, 1])
+        texts = chunked(batch)
+        hashes, keys = text_keys([c for _, chunks in texts for c in chunks]), text_keys([t for t, _ in texts])
+        yield rows(schema, hashes[:, 0], hashes[:, 1], np.repeat(keys[:, 0], [len(chunks) for _, chunks in texts]))
 
 
-def _repeats(chunks: list[bytes], repeated: Bits) -> bool:
-    return bool(chunks) and bool(repeated.holds(_hashes(chunks)[:, 0].view(np.uint64)).any())
+def _flags(chunks: list[bytes], among: Bits) -> np.ndarray:
+    return among.holds(text_keys(chunks)[:, 0].view(np.uint64)) if chunks else np.zeros(0, bool)
 
 
 # ---- encoding ----------------------------------------------------------------------------
 
 
-def _encoder(path: str, repeated: Bits, render: Render):
-    """Texts without a repeated chunk are encoded; the others get only their key."""
+def _encoder(path: str, apart: Bits, render: Render):
+    """Texts without a chunk that is ``apart`` are encoded; the others get only their key."""
     schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), *render.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = tokens.words(path, render.name, render.word(path))
         for batch in slices(batches, "text"):
             texts = chunked(batch)
-            own = [i for i, (_, chunks) in enumerate(texts) if not _repeats(chunks, repeated)]
+            own = [i for i, (_, chunks) in enumerate(texts) if not _flags(chunks, apart).any()]
             found: list = [[None] * len(render.schema)] * len(texts)
             for i, words in zip(own, memory.of([texts[i][0].split() for i in own]), strict=True):
                 found[i] = render.text(words)
@@ -178,19 +177,20 @@ def _encoder(path: str, repeated: Bits, render: Render):
     return run
 
 
-def _with_repeats(repeated: Bits):
+def _with_chunk(among: Bits):
+    """The texts that have such a chunk."""
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = [t for t, chunks in chunked(batch) if _repeats(chunks, repeated)]
+            texts = [t for t, chunks in chunked(batch) if _flags(chunks, among).any()]
             keys = text_keys(texts)
             yield rows(schema, keys[:, 0], keys[:, 1], [t.decode("utf-8") for t in texts])
 
     return run
 
 
-def _chunk_rows(with_bytes: bool):
+def _chunk_rows(among: Bits, with_bytes: bool):
     schema = pa.schema(
         [("h1", pa.int64()), ("h2", pa.int64())]
         + ([("chunk", pa.binary())] if with_bytes else [("k1", pa.int64()), ("k2", pa.int64()), ("place", pa.int32())])
@@ -198,15 +198,18 @@ def _chunk_rows(with_bytes: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = [chunks for _, chunks in chunked(batch)]
-            flat = [c for chunks in texts for c in chunks]
-            hashes, counts = _hashes(flat), [len(chunks) for chunks in texts]
+            k1, k2 = (batch.column(k).to_pylist() for k in ("k1", "k2"))
+            found = [
+                (chunk, k1[i], k2[i], place)
+                for i, (_, chunks) in enumerate(chunked(batch))
+                for place, (chunk, flag) in enumerate(zip(chunks, _flags(chunks, among), strict=True))
+                if flag
+            ]
+            hashes = text_keys([f[0] for f in found])
             if with_bytes:
-                yield rows(schema, hashes[:, 0], hashes[:, 1], flat)
+                yield rows(schema, hashes[:, 0], hashes[:, 1], [f[0] for f in found])
             else:
-                places = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
-                keys = [np.repeat(batch.column(k).to_numpy(), counts) for k in ("k1", "k2")]
-                yield rows(schema, hashes[:, 0], hashes[:, 1], *keys, places)
+                yield rows(schema, hashes[:, 0], hashes[:, 1], *([f[k] for f in found] for k in (1, 2, 3)))
 
     return run
 
@@ -274,23 +277,28 @@ def assemble(text: bytes, ends: list[int], chunks: list[Chunk], encode: Callable
     return done + open_chunk.ids
 
 
+def _words_of(part: dict) -> list[list[int]]:
+    ids, counts = (np.frombuffer(part[k], "<u4").tolist() for k in ("ids", "counts"))
+    stops = np.cumsum([0, *counts]).tolist()
+    return [ids[a:b] for a, b in pairwise(stops)]
+
+
 def _assembler(path: str, render: Render):
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), *render.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, word = tokens.load(path), render.word(path)
+        memory = tokens.words(path, "ids", tuple)
         for batch in slices(batches, "text"):
             found = []
             for (text, chunks), parts in zip(chunked(batch), batch.column("chunks").to_pylist(), strict=True):
-                by_place = {p["place"]: p for p in parts}
+                by_place = {p["place"]: _words_of(p) for p in parts}
+                others = [p for p in range(len(chunks)) if p not in by_place]
+                by_place |= zip(others, memory.of([chunks[p].split() for p in others]), strict=True)
                 start, ends, encoded = 0, [], []
                 for place, chunk in enumerate(chunks):
-                    part = by_place[place]
-                    ids, counts = (np.frombuffer(part[k], "<u4") for k in ("ids", "counts"))
-                    stops = np.cumsum(counts).tolist()
-                    flat = ids.tolist()
                     spans = [(start + m.start(), start + m.end()) for m in _WORD.finditer(chunk)]
-                    encoded.append(Chunk(spans, [flat[a:b] for a, b in zip([0, *stops], stops)]))  # noqa: B905
+                    encoded.append(Chunk(spans, [list(ids) for ids in by_place[place]]))
                     start += len(chunk)
                     ends.append(start)
                 words = assemble(text, ends, encoded, lambda t: tokens.encode(tokenizer, t))
@@ -309,30 +317,46 @@ def encode(docs: DataFrame, path: str | None = None, render: Render = WHOLE) ->
     tokens.single_words(path)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     keys = ["h1", "h2"]
-    counted = docs.select("text").mapInArrow(_chunk_hashes, "h1 long, h2 long").groupBy(keys).count()
-    repeated = Bits(store(counted.where("count > 1").select(keys)), "h1")
+    repeated = store(
+        docs.select("text")
+        .mapInArrow(_chunk_hashes, "h1 long, h2 long, k1 long")
+        .groupBy(keys)
+        .agg(F.count("*").alias("n"), (F.min("k1") < F.max("k1")).alias("several"))
+        .where("n > 1")
+        .select("h1", "several")
+    )
+    twice, several = Bits(repeated, "h1"), Bits(repeated.where("several"), "h1")
 
-    shared = store(
+    texts = store(
         docs.select("text")
-        .mapInArrow(_with_repeats(repeated), "k1 long, k2 long, text string")
+        .mapInArrow(_with_chunk(twice), "k1 long, k2 long, text string")
         .groupBy("k1", "k2")
         .agg(F.first("text").alias("text"))
     )
     encoded = store(
-        shared.mapInArrow(_chunk_rows(True), "h1 long, h2 long, chunk binary")
+        texts.mapInArrow(_chunk_rows(several, True), "h1 long, h2 long, chunk binary")
         .groupBy(keys)
         .agg(F.first("chunk").alias("chunk"))
         .mapInArrow(_encode_chunks(path), "h1 long, h2 long, ids binary, counts binary")
     )
-    uses = shared.mapInArrow(_chunk_rows(False), "h1 long, h2 long, k1 long, k2 long, place int")
+    uses = texts.mapInArrow(_chunk_rows(several, False), "h1 long, h2 long, k1 long, k2 long, place int")
     parts = (
         uses.join(encoded, keys).groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "ids", "counts")).alias("chunks"))
     )
-    assembled = store(
-        shared.join(parts, ["k1", "k2"]).mapInArrow(_assembler(path, render), f"k1 long, k2 long, {render.fields}")
+    put_together = (
+        texts.mapInArrow(_with_chunk(several), "k1 long, k2 long, text string")
+        .join(parts, ["k1", "k2"])
+        .mapInArrow(_assembler(path, render), f"k1 long, k2 long, {render.fields}")
+    )
+    whole = (
+        texts.select(F.lit(None).cast("long").alias("doc_id"), "text")
+        .mapInArrow(_encoder(path, several, render), f"doc_id long, k1 long, k2 long, {render.fields}")
+        .where(F.col(render.schema.names[0]).isNotNull())
+        .drop("doc_id")
     )
+    assembled = store(put_together.unionByName(whole))
     names = render.schema.names
-    direct = docs.mapInArrow(_encoder(path, repeated, render), f"doc_id long, k1 long, k2 long, {render.fields}")
+    direct = docs.mapInArrow(_encoder(path, twice, render), f"doc_id long, k1 long, k2 long, {render.fields}")
     joined = direct.alias("d").join(assembled.alias("a"), ["k1", "k2"], "left")
     return joined.select("doc_id", *[F.coalesce(f"a.{n}", f"d.{n}").alias(n) for n in names])
 
