@@ -50,48 +50,30 @@ _BLANK = frozenset(b" \t\n\r\x0b\x0c")
 
 
 class Render(NamedTuple):
-    """What a text's ids are turned into: per word, then per text."""
+    """What a text's ids are turned into."""
 
-    name: str
     schema: pa.Schema
     fields: str
-    word: Callable[[str], Callable[[list[int]], object]]
-    text: Callable[[list], tuple]
+    text: Callable[[str, list[int]], tuple]
 
 
-def _digest_word(path: str) -> Callable[[list[int]], tuple]:
-    known = tokens.pieces(path)
-    return lambda ids: (len(ids), " ".join(map(str, ids)), " ".join([known[i] for i in ids]))
-
-
-def _digest_text(words: list[tuple]) -> tuple:
-    words = [w for w in words if w[0]]
-    count, ids, decoded = zip(*words, strict=True) if words else ((), (), ())
-    sha = lambda parts: hashlib.sha256(" ".join(parts).encode("utf-8")).hexdigest()
-    return sum(count), sha(ids), sha(decoded)
+def _digest(path: str, ids: list[int]) -> tuple:
+    sha = lambda text: hashlib.sha256(text.encode("utf-8")).hexdigest()
+    return len(ids), sha(" ".join(map(str, ids))), sha(tokens.decode(path, ids))
 
 
 #: Counts and digests, which is all that a comparison of two encodings needs.
 DIGEST = Render(
-    "digest",
     pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]),
     "n_tokens long, ids_sha256 string, decoded_sha256 string",
-    _digest_word,
-    _digest_text,
+    _digest,
 )
 
-
-def _whole_text(words: list[tuple]) -> tuple:
-    return [i for w in words for i in w[0]], " ".join(w[1] for w in words if w[0])
-
-
 #: The ids and the decoded text.
 WHOLE = Render(
-    "whole",
     pa.schema([("ids", pa.list_(pa.int32())), ("decoded", pa.string())]),
     "ids array<int>, decoded string",
-    lambda path: lambda ids: (ids, tokens.decode(path, ids)),
-    _whole_text,
+    lambda path, ids: (ids, tokens.decode(path, ids)),
 )
 
 
@@ -159,18 +141,32 @@ def _flags(chunks: list[bytes], among: Bits) -> np.ndarray:
 # ---- encoding ----------------------------------------------------------------------------
 
 
+def _encode_all(path: str, texts: list[bytes]) -> tokens.Encoded:
+    offsets = np.cumsum([0, *map(len, texts)])
+    return tokens.encoder(path).encode(np.frombuffer(b"".join(texts), np.uint8), offsets)
+
+
+def _words_of(encoded: tokens.Encoded, ends: np.ndarray) -> list[list[list[int]]]:
+    """The ids of each word, by the texts that end at ``ends``."""
+    ids, stops = encoded.ids.tolist(), encoded.words.tolist()
+    words = [ids[a:b] for a, b in pairwise(stops)]
+    last = np.searchsorted(encoded.spans[:, 0], ends).tolist()
+    return [words[a:b] for a, b in pairwise([0, *last])]
+
+
 def _encoder(path: str, apart: Bits, render: Render):
     """Texts without a chunk that is ``apart`` are encoded; the others get only their key."""
     schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), *render.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = tokens.words(path, render.name, render.word(path))
         for batch in slices(batches, "text"):
             texts = chunked(batch)
             own = [i for i, (_, chunks) in enumerate(texts) if not _flags(chunks, apart).any()]
+            encoded = _encode_all(path, [texts[i][0] for i in own])
+            ids, bounds = encoded.ids.tolist(), encoded.texts.tolist()
             found: list = [[None] * len(render.schema)] * len(texts)
-            for i, words in zip(own, memory.of([texts[i][0].split() for i in own]), strict=True):
-                found[i] = render.text(words)
+            for i, a, b in zip(own, bounds[:-1], bounds[1:], strict=True):
+                found[i] = render.text(path, ids[a:b])
             keys = text_keys([t for t, _ in texts])
             yield rows(schema, batch.column("doc_id"), keys[:, 0], keys[:, 1], *zip(*found, strict=True))
 
@@ -219,9 +215,9 @@ def _encode_chunks(path: str):
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = tokens.words(path, "ids", tuple)
         for batch in batches:
-            words = memory.of([c.split() for c in batch.column("chunk").to_pylist()])
+            chunks = batch.column("chunk").to_pylist()
+            words = _words_of(_encode_all(path, chunks), np.cumsum([len(c) for c in chunks]))
             ids = [np.array([i for w in ws for i in w], "<u4").tobytes() for ws in words]
             counts = [np.array([len(w) for w in ws], "<u4").tobytes() for ws in words]
             yield rows(schema, batch.column("h1"), batch.column("h2"), ids, counts)
@@ -277,7 +273,7 @@ def assemble(text: bytes, ends: list[int], chunks: list[Chunk], encode: Callable
     return done + open_chunk.ids
 
 
-def _words_of(part: dict) -> list[list[int]]:
+def _stored_words(part: dict) -> list[list[int]]:
     ids, counts = (np.frombuffer(part[k], "<u4").tolist() for k in ("ids", "counts"))
     stops = np.cumsum([0, *counts]).tolist()
     return [ids[a:b] for a, b in pairwise(stops)]
@@ -287,22 +283,25 @@ def _assembler(path: str, render: Render):
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), *render.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, word = tokens.load(path), render.word(path)
-        memory = tokens.words(path, "ids", tuple)
+        tokenizer = tokens.load(path)
         for batch in slices(batches, "text"):
-            found = []
-            for (text, chunks), parts in zip(chunked(batch), batch.column("chunks").to_pylist(), strict=True):
-                by_place = {p["place"]: _words_of(p) for p in parts}
-                others = [p for p in range(len(chunks)) if p not in by_place]
-                by_place |= zip(others, memory.of([chunks[p].split() for p in others]), strict=True)
-                start, ends, encoded = 0, [], []
-                for place, chunk in enumerate(chunks):
-                    spans = [(start + m.start(), start + m.end()) for m in _WORD.finditer(chunk)]
-                    encoded.append(Chunk(spans, [list(ids) for ids in by_place[place]]))
-                    start += len(chunk)
-                    ends.append(start)
-                words = assemble(text, ends, encoded, lambda t: tokens.encode(tokenizer, t))
-                found.append(render.text([word(ids) for ids in words]))
+            texts, found = chunked(batch), []
+            given = [{p["place"]: _stored_words(p) for p in parts} for parts in batch.column("chunks").to_pylist()]
+            # the chunks that no other text has are encoded here, all at once
+            own = [(i, p) for i, (_, chunks) in enumerate(texts) for p in range(len(chunks)) if p not in given[i]]
+            alone = [texts[i][1][p] for i, p in own]
+            words = _words_of(_encode_all(path, alone), np.cumsum([len(c) for c in alone], dtype=np.int64))
+            for (i, p), ids in zip(own, words, strict=True):
+                given[i][p] = ids
+            for (text, chunks), by_place in zip(texts, given, strict=True):
+                ends = np.cumsum([len(c) for c in chunks]).tolist()
+                spans = [
+                    [(start + m.start(), start + m.end()) for m in _WORD.finditer(chunk)]
+                    for start, chunk in zip([0, *ends], chunks, strict=False)
+                ]
+                parts = [Chunk(spans[p], by_place[p]) for p in range(len(chunks))]
+                ids = assemble(text, ends, parts, lambda t: tokens.encode(tokenizer, t))
+                found.append(render.text(path, [i for word in ids for i in word]))
             yield rows(schema, batch.column("k1"), batch.column("k2"), *zip(*found, strict=True))
 
     return run
@@ -314,7 +313,7 @@ def encode(docs: DataFrame, path: str | None = None, render: Render = WHOLE) ->
     ``path`` names the tokenizer's file, which every executor can read at the same place.
     """
     path = path or tokens.default_path()
-    tokens.single_words(path)
+    tokens.checked(path)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     keys = ["h1", "h2"]
     repeated = store(

@@ -89,7 +89,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20)
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts of a column, and where each starts (one more: the end)."""
-    column = column.fill_null("")
+    column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
     _, offsets, data = column.buffers()
     if not len(column) or offsets is None:

@@ -23,6 +23,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quittance.llm import tokens
-from quittance.llm.common import rows, slices, store, text_list
+from quittance.llm.common import rows, slices, store, text_buffers
 
 CAPACITY = 4096
 END = 1
@@ -46,18 +47,15 @@ _SCHEMA = pa.schema(
 )
 
 
-def _id_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
-
-
 def _cutter(path: str, capacity: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, last = tokens.words(path, "bytes", _id_bytes), _id_bytes([end])
+        encoder, last = tokens.encoder(path), np.array([end], "<u4").tobytes()
         for batch in slices(batches, "text"):
             found = []
-            encoded = memory.of([t.split() for t in text_list(batch.column("text"))])
-            for doc_id, parts in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
-                whole = b"".join([*parts, last])
+            encoded = encoder.encode(*text_buffers(batch.column("text")))
+            bounds = pairwise(encoded.texts.tolist())
+            for doc_id, (a, b) in zip(batch.column("doc_id").to_pylist(), bounds, strict=True):
+                whole = encoded.ids[a:b].astype("<u4").tobytes() + last
                 for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     found.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -69,7 +67,7 @@ def _cutter(path: str, capacity: int, end: int):
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """The pieces of each text: at most ``capacity`` tokens, only the last may be shorter."""
     path = path or tokens.default_path()
-    tokens.single_words(path)
+    tokens.checked(path)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(_cutter(path, capacity, end), PIECES)
 
