@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quittance.llm import bpe_reuse, swap_packing
+from quittance.llm import bpe_reuse, quality_cascade, simhash_ring, swap_packing
 from quittance.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash_ring.near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", simhash_ring.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe_reuse": lambda spark, d: bpe_reuse.digests(table(spark, d, "documents")),
+    "op3_simhash_ring": near_duplicates,
+    "op4_quality_cascade": lambda spark, d: quality_cascade.judge(table(spark, d, "documents")),
     "op9_swap_packing": lambda spark, d: swap_packing.pack(table(spark, d, "documents")),
 }
 
