@@ -15,7 +15,8 @@ How it runs on Spark:
    key is met by chance about as rarely at any size.
 3. Keys are counted (map side). A key with one fingerprint is done, one with two is a
    candidate pair by its least and greatest. Only keys with more are joined back to their
-   fingerprints. Up to RUN of these are compared in one task, which emits a spanning forest
+   fingerprints. Up to RUN of these are
+   compared in one task, which emits a spanning forest
    of the links, not the pairs. For larger ones every fingerprint is sent to all points
    within t/2 bits, and those that meet at a point are linked to the first: two fingerprints
    within t bits always meet at one and all that meet there are within t, so nothing is lost,
@@ -51,6 +52,8 @@ SEED = 42
 #: Fingerprints of one key that a task compares with each other. Beyond it the points within
 #: two bits (2081) are the cheaper way.
 RUN = 4096
+#: Rows of keys that one task compares, on average.
+ROWS_OF_TASK = 8000
 #: Chance partners of a fingerprint under one key, at most.
 CHANCE = 0.25
 
@@ -173,27 +176,24 @@ class Ring(NamedTuple):
             some = some | chain
         return some & (F.bit_count(difference) <= self.distance)
 
-    def linked_to(self, one: np.uint64, others: np.ndarray) -> np.ndarray:
-        """The same for one fingerprint and an array."""
+    def linked_to(self, one: np.uint64, others: np.ndarray, start: int) -> np.ndarray:
+        """Those of an array that are linked to ``one`` by the chain from ``start``."""
         difference = others ^ one
-        passed = np.zeros(len(others), bool)
-        for start in range(self.segments):
-            by = np.uint64(start * self.width)
-            turned = difference << by | difference >> np.uint64(BITS - int(by)) if start else difference
-            chain = np.ones(len(others), bool)
-            for k in range(1, self.segments):
-                if self.budget(k) < self.budget(k + 1):
-                    chain &= np.bitwise_count(turned >> np.uint64(BITS - self.width * k)) <= self.budget(k)
-            passed |= chain
-        found = np.flatnonzero(passed)
+        by = start * self.width
+        turned = difference << np.uint64(by) | difference >> np.uint64(BITS - by) if start else difference
+        chain = np.ones(len(others), bool)
+        for k in range(1, self.segments):
+            if self.budget(k) < self.budget(k + 1):
+                chain &= np.bitwise_count(turned >> np.uint64(BITS - self.width * k)) <= self.budget(k)
+        found = np.flatnonzero(chain)
         return found[np.bitwise_count(difference[found]) <= self.distance]
 
 
 # ---- links -------------------------------------------------------------------------------
 
 
-def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[np.ndarray]:
-    """The fingerprints of each run of equal keys, in a stream sorted by the keys."""
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each run of equal keys in a stream sorted by them, with its fingerprints."""
     last, held = None, []
     for batch in batches:
         keys = np.stack([batch.column(n).to_numpy() for n in names], 1)
@@ -203,16 +203,16 @@ def _runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[np.nd
         starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
         for a, b in zip(starts, [*starts[1:], len(fps)], strict=True):
             if last is not None and not np.array_equal(last, keys[a]):
-                yield np.concatenate(held)
+                yield last, np.concatenate(held)
                 held = []
             last = keys[a]
             held.append(fps[a:b])
     if held:
-        yield np.concatenate(held)
+        yield last, np.concatenate(held)
 
 
-def forest(fps: np.ndarray, ring: Ring) -> list[tuple[int, int]]:
-    """Links that connect what is connected among at most RUN distinct fingerprints."""
+def forest(fps: np.ndarray, ring: Ring, start: int) -> list[tuple[int, int]]:
+    """Links that connect what chains from ``start`` connect among at most RUN distinct fingerprints."""
     waiting, found = fps, []
     front: list[np.uint64] = []
     while len(waiting) or front:
@@ -220,7 +220,7 @@ def forest(fps: np.ndarray, ring: Ring) -> list[tuple[int, int]]:
             front, waiting = [waiting[0]], waiting[1:]
             continue
         one = front.pop()
-        near = ring.linked_to(one, waiting)
+        near = ring.linked_to(one, waiting, start)
         found += [(int(one), int(x)) for x in waiting[near]]
         front += list(waiting[near])
         waiting = np.delete(waiting, near)
@@ -234,10 +234,10 @@ def _signed(values: list[int]) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
-def _compare(ring: Ring):
+def _compare(ring: Ring, ways: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fps in _runs(batches, ["way", "part"]):
-            found = forest(np.unique(fps), ring)
+        for key, fps in _runs(batches, ["way", "part"]):
+            found = forest(np.unique(fps), ring, int(key[0]) // ways)
             yield rows(_PAIRS, _signed([u for u, _ in found]), _signed([v for _, v in found]))
 
     return run
@@ -262,12 +262,11 @@ def _points(ring: Ring):
     return run
 
 
-def _meet(ring: Ring):
+def _meet():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for fps in _runs(batches, ["point"]):
+        for _, fps in _runs(batches, ["point"]):
             if len(fps) > 1:
-                near = ring.linked_to(fps[0], fps[1:])  # an odd distance reaches a bit too far
-                others = fps[1:][near]
+                others = fps[1:]
                 yield rows(_PAIRS, np.full(len(others), fps[0]).view(np.int64), others.view(np.int64))
 
     return run
@@ -287,7 +286,10 @@ def links(distinct: DataFrame, ring: Ring = Ring(), run: int = RUN) -> DataFrame
     more = groups.where("n > 2").select(*key, "n")
     members = store(keyed.join(more, key))
     small = members.where(F.col("n") <= run).select(*key, "fp")
-    compared = small.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare(ring), "u long, v long")
+    # by count, not by bytes: the rows are narrow, the comparisons are not
+    tasks = max(1, members.count() // ROWS_OF_TASK)
+    compare = _compare(ring, len(ring.ways(length)))
+    compared = small.repartition(tasks, *key).sortWithinPartitions(*key).mapInArrow(compare, "u long, v long")
     found = pairs.unionByName(compared)
     large = members.where(F.col("n") > run).select("fp").distinct()
     if not large.isEmpty():
@@ -295,7 +297,7 @@ def links(distinct: DataFrame, ring: Ring = Ring(), run: int = RUN) -> DataFrame
             large.mapInArrow(_points(ring), "point long, fp long")
             .repartition("point")
             .sortWithinPartitions("point", "fp")
-            .mapInArrow(_meet(ring), "u long, v long")
+            .mapInArrow(_meet(), "u long, v long")
         )
         found = found.unionByName(met)
     return found
