@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quittance.llm import bpe_reuse, quality_cascade, simhash_ring, swap_packing
+from quittance.llm import bpe_reuse, phrase_automata, quality_cascade, simhash_ring, swap_packing
 from quittance.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe_reuse": lambda spark, d: bpe_reuse.digests(table(spark, d, "documents")),
     "op3_simhash_ring": near_duplicates,
     "op4_quality_cascade": lambda spark, d: quality_cascade.judge(table(spark, d, "documents")),
+    "op5_phrase_automata": lambda spark, d: phrase_automata.digests(table(spark, d, "documents")),
     "op9_swap_packing": lambda spark, d: swap_packing.pack(table(spark, d, "documents")),
 }
 

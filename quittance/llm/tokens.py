@@ -105,7 +105,7 @@ def _powers(base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
-def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     length = 1 << max(20, int(len(data)).bit_length())
     up, down = _powers(base, length)
     sums = np.zeros(len(data) + 1, np.uint64)
@@ -166,7 +166,7 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[Pieces, np.ndarra
     counts = np.diff(np.append(first, len(starts)))
     ends = np.append(starts[1:], len(data))
     ends = np.minimum(ends, np.repeat(stops, counts))
-    one, two = (_hash(text, starts, ends, base) for base in _BASES)
+    one, two = (hash_spans(text, starts, ends, base) for base in _BASES)
     is_odd = np.repeat(odd_words, counts)
     one[is_odd] ^= _APART
     one[one == 0] = 1
