@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quittance.llm import tokens
-from quittance.llm.common import Bits, rows, slices, store, text_buffers, text_keys
+from quittance.llm.common import Bits, narrow_batches, rows, slices, store, text_buffers, text_keys
 
 #: Chunk lengths in bytes: mean between cuts (a power of 2), least, most.
 MEAN, LEAST, MOST = 1024, 256, 8192
@@ -314,6 +314,7 @@ def encode(docs: DataFrame, path: str | None = None, render: Render = WHOLE) ->
     """
     path = path or tokens.default_path()
     tokens.checked(path)
+    narrow_batches(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     keys = ["h1", "h2"]
     repeated = store(

@@ -23,6 +23,8 @@ from quittance.plans.lineage import shared_folder
 MOST_BITS = 1 << 29
 LEAST_BITS = 1 << 20
 
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 #: White space between words: \x20 and \x09 to \x0D, which is what bytes.split() splits at.
 SPACE = "\\x20\\x09-\\x0D"
 
@@ -31,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def narrow_batches(frame: DataFrame) -> None:
+    """Fewer rows per Arrow batch than Spark's default of 10,000: texts are long rows."""
+    conf = frame.sparkSession.conf
+    if int(conf.get(BATCH)) > BATCH_ROWS:
+        conf.set(BATCH, str(BATCH_ROWS))
+
+
 def store(frame: DataFrame) -> DataFrame:
     """``frame`` written to the shared folder and read back.
 
@@ -73,7 +82,7 @@ class Bits:
         return (word >> (place & np.uint64(63))) & np.uint64(1) > 0
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut where their texts reach ``limit`` bytes; a longer text comes alone."""
     for batch in batches:
         if not batch.num_rows:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quittance.llm.common import Bits, rows, slices, store, text_buffers, text_keys, text_list
+from quittance.llm.common import Bits, narrow_batches, rows, slices, store, text_buffers, text_keys, text_list
 from quittance.llm.tokens import hash_spans, word_spans
 
 WINDOW, ANCHOR = 13, 5
@@ -285,6 +285,7 @@ class Found:
     """What recurs in a set of documents, to be removed from them."""
 
     def __init__(self, docs: DataFrame) -> None:
+        narrow_batches(docs)
         # as in the rows themselves, whatever type doc_id has
         docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
         key = ["k1", "k2"]

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quittance.llm.common import rows, slices, store, text_list
+from quittance.llm.common import narrow_batches, rows, slices, store, text_list
 from quittance.plans.lineage import cut
 
 BITS = 64
@@ -97,6 +97,7 @@ def _fingerprints(size: int):
 
 def fingerprints(docs: DataFrame, size: int = WORDS) -> DataFrame:
     """``doc_id`` and ``fp``, the fingerprint as a signed long."""
+    narrow_batches(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(_fingerprints(size), "doc_id long, fp long")
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quittance.llm import tokens
-from quittance.llm.common import rows, slices, store, text_buffers
+from quittance.llm.common import narrow_batches, rows, slices, store, text_buffers
 
 CAPACITY = 4096
 END = 1
@@ -68,6 +68,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     """The pieces of each text: at most ``capacity`` tokens, only the last may be shorter."""
     path = path or tokens.default_path()
     tokens.checked(path)
+    narrow_batches(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(_cutter(path, capacity, end), PIECES)
 
