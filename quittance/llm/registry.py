@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quittance.llm import bpe_reuse, phrase_automata, quality_cascade, simhash_ring, swap_packing
+import corpus_pipeline
+from quittance.llm import bpe_reuse, phrase_automata, quality_cascade, simhash_ring, swap_packing, toxic_instances
 from quittance.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,12 +20,29 @@ def near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", simhash_ring.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {
+def _importable(query: Query) -> Query:
+    """Python workers started from any folder find this package where the driver found it.
+
+    A cluster installs the package or gets it by --py-files; this is for a shared folder.
+    """
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(corpus_pipeline.__file__).resolve().parent))
+        return query(spark, d)
+
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "op1_bpe_reuse": lambda spark, d: bpe_reuse.digests(table(spark, d, "documents")),
     "op3_simhash_ring": near_duplicates,
     "op4_quality_cascade": lambda spark, d: quality_cascade.judge(table(spark, d, "documents")),
     "op5_phrase_automata": lambda spark, d: phrase_automata.digests(table(spark, d, "documents")),
+    "op8_toxic_instances": lambda spark, d: toxic_instances.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_swap_packing": lambda spark, d: swap_packing.pack(table(spark, d, "documents")),
+    "pipeline": corpus_pipeline.run,
 }
 
+QUERIES = {name: _importable(query) for name, query in _QUERIES.items()}
+
 ORACLE: dict[str, str] = {}

@@ -41,8 +41,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from quittance.llm.common import narrow_batches, rows, slices, store, text_list
+from quittance.llm.common import Bits, narrow_batches, rows, slices, store, text_keys, text_list
 from quittance.plans.lineage import cut
 
 BITS = 64
@@ -330,19 +331,80 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
 
 
+def _classes(marked: DataFrame, ring: Ring) -> DataFrame:
+    """``fp``, ``root`` (the least fingerprint it reaches) and the least doc_id of that class."""
+    distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(distinct.select("fp"), ring)).withColumnRenamed("node", "fp")
+    rooted = store(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    first = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return store(rooted.select("fp", "root").join(first, "root"))
+
+
 def near_duplicates(docs: DataFrame, size: int = WORDS, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id``, the least doc_id that the document reaches."""
-    ring = Ring(distance, segments)
     marked = store(fingerprints(docs, size))
-    distinct = store(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(distinct.select("fp"), ring))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = store(rooted)
-    first = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = store(rooted.select("fp", "root").join(first, "root").select("fp", "component_id"))
+    classes = _classes(marked, Ring(distance, segments)).select("fp", "component_id")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def _keyed(size: int):
+    schema = pa.schema([(n, pa.int64()) for n in ("k1", "k2", "doc_id", "fp")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            texts = text_list(batch.column("text"))
+            keys, fps = text_keys(texts), np.array([fingerprint(t, size) for t in texts], np.uint64)
+            yield rows(schema, keys[:, 0], keys[:, 1], batch.column("doc_id"), fps.view(np.int64))
+
+    return run
+
+
+def _split_off(grouped: Bits, k1: str, k2: str, wanted: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            keys = text_keys(text_list(batch.column("text")))
+            at = np.flatnonzero(grouped.holds(keys[:, 0].view(np.uint64)) == wanted)
+            taken = batch.take(pa.array(at))
+            if wanted:
+                columns = [*taken.columns, pa.array(keys[at, 0]), pa.array(keys[at, 1])]
+                taken = pa.RecordBatch.from_arrays(columns, [*batch.schema.names, k1, k2])
+            yield taken
+
+    return run
+
+
+def keep_first(docs: DataFrame, size: int = WORDS, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
+    """One document of each class, that with the least doc_id (a null one last), with its columns.
+
+    Documents that are alone in their class stay where they are read. The others meet their
+    class by the hash of their text and are reduced to the first on the map side already, so
+    a class may hold any share of the documents.
+    """
+    narrow_batches(docs)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = store(ids.mapInArrow(_keyed(size), "k1 long, k2 long, doc_id long, fp long"))
+    classes = _classes(marked.select("doc_id", "fp"), Ring(distance, segments)).select("fp", "root")
+    texts = marked.groupBy("k1", "k2").agg(F.first("fp").alias("fp"), F.count("*").alias("n"))
+    of_text = store(texts.join(classes, "fp"))
+    several = of_text.groupBy("root").agg(F.sum("n").alias("n")).where("n > 1").select("root")
+    grouped = store(of_text.join(several, "root").select("k1", "k2", "root"))
+    bits, names = Bits(grouped, "k1"), set(docs.columns)
+    k1, k2, root = (next(n for i in range(len(names) + 1) if (n := f"{w}{'_' * i}") not in names) for w in ("k1", "k2", "root"))
+    keyed = StructType([*docs.schema.fields, StructField(k1, LongType()), StructField(k2, LongType())])
+    moved = docs.mapInArrow(_split_off(bits, k1, k2, True), keyed).join(
+        grouped.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("root").alias(root)), [k1, k2], "left"
+    )
+    alone = F.col(root).isNull()  # let through by the bit map only
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text"))
+    first = (
+        moved.groupBy(root, F.when(alone, F.col(k1)), F.when(alone, F.col(k2)))
+        .agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]), order).alias("kept"))
+        .select("kept.*")
+    )
+    stay = docs.mapInArrow(_split_off(bits, k1, k2, False), docs.schema)
+    return stay.unionByName(first)
+
+
 def as_hex(fp: Column) -> Column:
     """A fingerprint as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
