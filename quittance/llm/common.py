@@ -7,6 +7,7 @@ names, neither clash nor travel.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Iterator
@@ -25,6 +26,9 @@ LEAST_BITS = 1 << 20
 
 BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
+#: The C library's call that returns freed memory, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 #: White space between words: \x20 and \x09 to \x0D, which is what bytes.split() splits at.
 SPACE = "\\x20\\x09-\\x0D"
 
@@ -82,8 +86,19 @@ class Bits:
         return (word >> (place & np.uint64(63))) & np.uint64(1) > 0
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut where their texts reach ``limit`` bytes; a longer text comes alone."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """The batches cut where their texts reach ``limit`` bytes; a longer text comes alone.
+
+    After the last one, memory that Arrow and numpy have freed goes back to the system: Python
+    workers outlive their tasks and would keep it beside those of other stages.
+    """
+    yield from _cut(batches, column, limit)
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -26,7 +26,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 WORD_BPE = "word_bpe_49k.json"
 
 #: Pieces remembered by one worker, about 40 bytes each.
-LIMIT = 1 << 20
+LIMIT = 1 << 19
 
 _ODD, _LETTER, _DIGIT, _SIGN = range(4)
 _KIND = np.zeros(256, np.uint8)
@@ -106,7 +106,7 @@ def _powers(base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    length = 1 << max(20, int(len(data)).bit_length())
+    length = 1 << max(19, int(len(data)).bit_length())
     up, down = _powers(base, length)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
