@@ -29,6 +29,7 @@ _BUCKET = 3  # leading hex digits of the hash: 4096 buckets per kind, whatever t
 _SPACE = r"[\s\x1c-\x1f]"
 _EMBEDDED = r"(?U)bus id:" + _SPACE + r"*(\d+)"
 _EDGES = " -–—"
+UNMAPPED = "a business id in a free text has no surrogate"
 
 
 def identifying_columns(columns: Iterable[str]) -> dict[str, str]:
@@ -61,7 +62,7 @@ def collect_identities(frames: Iterable[DataFrame]) -> DataFrame:
             if kind in specs.SURROGATE_PREFIX:
                 parts.append(F.array(F.struct(F.lit(kind).alias("kind"), value.alias("value"))))
             elif kind in NAME_KINDS:
-                parts.append(F.array(F.struct(F.lit(NAME).alias("kind"), F.trim(value).alias("value"))))
+                parts.append(F.array(F.struct(F.lit(NAME).alias("kind"), _stripped(value).alias("value"))))
         for column in free_text_columns(frame.columns):
             text = F.when(_present(quoted(column)), quoted(column)).otherwise("")
             embedded = F.regexp_extract_all(text, F.lit(_EMBEDDED), F.lit(1))
@@ -74,6 +75,11 @@ def collect_identities(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, found).filter(_present(F.col("value"))).distinct()
 
 
+def _stripped(value: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(value, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+
+
 def ids_of(identities: DataFrame) -> DataFrame:
     return identities.filter(F.col("kind") != NAME)
 
@@ -159,13 +165,15 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     """``text, current`` with every embedded business id replaced.
 
     A text is cut at its ids, the ids meet the mapping one row each, and the pieces are
-    put together again; a group is one text, never more.
+    put together again; a group is one text, never more. An id that the mapping lacks stops
+    the query: it must neither stay nor shift the others.
     """
     ids = F.regexp_extract_all("text", F.lit(_EMBEDDED), F.lit(1))
     business = mapping.filter(F.col("kind") == "business_id").select("value", "surrogate")
     replaced = (
         texts.select("text", F.posexplode(ids).alias("nth", "value"))
-        .join(business, "value")
+        .join(business, "value", "left")
+        .withColumn("surrogate", F.coalesce("surrogate", F.raise_error(F.lit(UNMAPPED)).cast("string")))
         .groupBy("text")
         .agg(F.array_sort(F.collect_list(F.struct("nth", "surrogate"))).alias("ids"))
     )

@@ -70,6 +70,8 @@ def _earliest(moment: str, key: str) -> Column:
 
 def _cents_within(tolerance: Decimal | float | str) -> int:
     """Whole cents strictly below the tolerance; amounts have two decimals."""
+    if Decimal(str(tolerance)) <= 0:
+        raise ValueError("nothing lies within a tolerance of 0 or less")
     steps = (Decimal(str(tolerance)) / CENT).to_integral_value(ROUND_CEILING)
     return int(steps) - 1
 

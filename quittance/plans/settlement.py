@@ -94,13 +94,16 @@ class Warehouse:
 
     # ---- anonymising ----
 
-    def anonymise_folder(self, folder: str, private: str) -> dict[str, tuple[int, int]]:
+    def anonymise_folder(self, folder: str, private: str, run: Run | None = None) -> dict[str, tuple[int, int]]:
         """Anonymised copies of a folder's exports; data set -> rows written, columns scrubbed.
 
+        With ``run`` they go to a folder of that run's own, so no copy of an earlier run can
+        stand in for an export that is missing today.
+
         The mapping lives in ``private``, outside anything published. Ids already mapped
         keep their surrogates; new ones are appended.
         """
-        frames = {name: read_export(self.spark, path) for name, path in list_exports(self.spark, folder).items()}
+        frames = {name: read_export(self.spark, paths) for name, paths in list_exports(self.spark, folder).items()}
         if not frames:
             raise FileNotFoundError(f"no CSVs found in {folder}")
         where = f"{private.rstrip('/')}/surrogate_mapping"
@@ -110,12 +113,14 @@ class Warehouse:
         anon.number_ids(anon.ids_of(identities), stored).write.mode("append").parquet(where)
         # read back: its size is known now, which decides how it is joined
         mapping = self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(where)
+        if not mapping.groupBy("kind", "value").count().where("count > 1").isEmpty():
+            raise ValueError(f"{where} numbers an id twice; two runs overlapped")
         names = anon.names_of(identities)
         written = {}
         for name, frame in frames.items():
             rows = Observation(f"anonymised-{name}")
             clean = anon.anonymise(frame, mapping, names).observe(rows, F.count(F.lit(1)).alias("rows"))
-            write_export(clean, self.path("anonymised", f"{name}.csv"))
+            write_export(clean, self.path("anonymised", *([run.run_id] if run else []), f"{name}.csv"))
             written[name] = (rows.get["rows"], anon.scrubbed_columns(frame))
         return written
 
@@ -215,8 +220,8 @@ def run(
     house, this_run = Warehouse(spark, warehouse), at or Run.now()
     folder = exports
     if private is not None:
-        house.anonymise_folder(exports, private)
-        folder = house.path("anonymised")
+        house.anonymise_folder(exports, private, this_run)
+        folder = house.path("anonymised", this_run.run_id)
     loads = house.load(folder, this_run)
     failed = [f"{r.source_file} {r.status}: {r.message}" for r in loads if r.status != OK]
     if failed:

@@ -10,7 +10,7 @@ from quittance.sources import specs
 
 
 def read_export(
-    spark: SparkSession, path: str, *, multi_line: bool = False, separator: str = ","
+    spark: SparkSession, path: str | list[str], *, multi_line: bool = False, separator: str = ","
 ) -> DataFrame:
     """An export with every column as text, under the header's names.
 
@@ -68,18 +68,18 @@ def size_of(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(where).getLength()
 
 
-def list_exports(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Data set name -> path of each export in a folder, on any Hadoop file system.
+def list_exports(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Data set name -> paths of its exports in a folder, on any Hadoop file system.
 
-    Of several files with one data set name the last in name order counts.
+    A data set may be spread over several files, which are read together.
     """
     system, where = _file_system(spark, folder)
     names = sorted(s.getPath().getName() for s in system.listStatus(where))
-    return {
-        dataset_name(n): f"{folder.rstrip('/')}/{n}"
-        for n in names
-        if n.endswith(".csv") and not n.startswith(("_", "."))
-    }
+    found: dict[str, list[str]] = {}
+    for name in names:
+        if name.endswith(".csv") and not name.startswith(("_", ".")):
+            found.setdefault(dataset_name(name), []).append(f"{folder.rstrip('/')}/{name}")
+    return found
 
 
 def committed_folders(spark: SparkSession, parent: str) -> list[str]:

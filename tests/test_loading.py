@@ -209,10 +209,12 @@ def test_data_set_names(name, data_set):
     assert dataset_name(name) == data_set
 
 
-def test_last_file_of_a_data_set_counts(spark, tmp_path):
+def test_every_file_of_a_data_set_counts(spark, tmp_path):
     for name in ("orders_20250101_20250131_a.csv", "orders_20250101_20250228_a.csv", "_mapping.csv", "x.txt"):
         (tmp_path / name).write_text("a\n1\n")
-    assert list_exports(spark, str(tmp_path)) == {"orders": f"{tmp_path}/orders_20250101_20250228_a.csv"}
+    found = list_exports(spark, str(tmp_path))
+    assert found == {"orders": [f"{tmp_path}/orders_20250101_{d}_a.csv" for d in ("20250131", "20250228")]}
+    assert read_export(spark, found["orders"]).count() == 2
 
 
 def test_stream_loads_new_files_once(store, spark, tmp_path):

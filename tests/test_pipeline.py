@@ -1,5 +1,6 @@
 """Exports in, published marts out."""
 
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -43,7 +44,9 @@ def test_everything_loads_and_is_published(first, house):
 
 def test_no_identity_is_left(spark, folders, house):
     real = {v.lower() for k, v in IDENTITY.items() if k not in ("Merchant store ID", "Store ID")} | {"pier 9", "9 pier road"}
-    for export in (folders / "house" / "anonymised").iterdir():
+    exports = list((folders / "house" / "anonymised").glob("*/*.csv"))
+    assert exports
+    for export in exports:
         text = "".join(p.read_text() for p in export.glob("part-*")).lower()
         assert not [v for v in real if v in text], export.name
     campaign = house.read_published("dim_campaign").first()
@@ -125,3 +128,12 @@ def test_table_never_loaded_is_stale(spark, tmp_path):
 def test_nothing_published_yet(spark, tmp_path):
     with pytest.raises(LookupError):
         Warehouse(spark, str(tmp_path / "house")).read_published(MARTS[0])
+
+
+def test_no_earlier_copy_stands_in_for_a_missing_export(spark, folders, first, tmp_path):
+    exports = tmp_path / "exports"
+    shutil.copytree(folders / "exports", exports)
+    gone = next(p for p in exports.iterdir() if "sales_by_order" in p.name.lower())
+    shutil.rmtree(gone) if gone.is_dir() else gone.unlink()
+    with pytest.raises(IncompleteLoad):
+        run(spark, str(exports), str(folders / "house"), private=str(folders / "private"))

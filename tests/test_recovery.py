@@ -178,3 +178,9 @@ def test_busy_delivery_is_split(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert "SortMergeJoin(skew=true)" in plan
+
+
+@pytest.mark.parametrize("tolerance", ["0", "-0.01"])
+def test_no_tolerance_is_refused(tolerance):
+    with pytest.raises(ValueError, match="tolerance"):
+        recovery._cents_within(tolerance)

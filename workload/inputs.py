@@ -8,20 +8,9 @@ oracle. Every template reads its whole tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from quittance.sources.exports import size_of
-
-# A row group is the least a scan can split. Below this size spreading costs more than it gains.
-ROW_GROUP, SPREAD_FROM = 128 << 20, 1 << 20
-KEYS = {
-    "customer": ("c_custkey",),
-    "supplier": ("s_suppkey",),
-    "part": ("p_partkey",),
-    "orders": ("o_orderkey",),
-    "lineitem": ("l_orderkey", "l_partkey"),
-    "events": ("event_id",),
-}
-TABLES = tuple(KEYS)
+TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Payouts fall on the first Thursday on or after the day, plus a week.
 _SPARK = {
@@ -297,7 +286,7 @@ def duck(template: str) -> str:
     return template.format(**names, **_DUCK).replace("`", '"')
 
 
-_FOOTERS: dict[str, tuple] = {}  # schema and size by path, so that each file is opened for them once
+_SCHEMAS: dict[str, StructType] = {}  # by path, so that each file is opened for it once
 
 
 class Tables:
@@ -307,15 +296,11 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """A table, spread over the cores where its file has too few row groups for them."""
+        """A table as it is stored, whatever its size: no plan depends on it."""
         path = f"{self.folder}/{name}.parquet"
-        if path not in _FOOTERS:
-            _FOOTERS[path] = (self.spark.read.parquet(path).schema, size_of(self.spark, path))
-        schema, size = _FOOTERS[path]
-        frame, cores = self.spark.read.schema(schema).parquet(path), self.spark.sparkContext.defaultParallelism
-        if SPREAD_FROM < size < cores * ROW_GROUP:
-            return frame.repartition(cores, *KEYS[name])
-        return frame
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def sql(self, template: str) -> DataFrame:
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in template}
