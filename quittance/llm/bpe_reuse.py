@@ -121,8 +121,7 @@ def chunked(batch: pa.RecordBatch) -> list[tuple[bytes, list[bytes]]]:
     data, offsets = text_buffers(batch.column("text"))
     whole, found = data.tobytes(), []
     for start, end, ends in zip(offsets[:-1].tolist(), offsets[1:].tolist(), cuts(data, offsets), strict=True):
-        starts = [start, *ends[:-1]]
-        found.append((whole[start:end], [whole[a:b] for a, b in zip(starts, ends, strict=True) if b > a]))
+        found.append((whole[start:end], [whole[a:b] for a, b in pairwise([start, *ends])]))
     return found
 
 

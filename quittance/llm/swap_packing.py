@@ -38,8 +38,8 @@ CAPACITY = 4096
 END = 1
 #: Pieces packed in one task.
 GROUP = 40_000
-#: Exchanges tried for one bin before it is left as it is.
-TRIES = 2_000
+#: Exchanges tried for one bin before it is left as it is, and bins tried in turn.
+TRIES, SWEEP = 2_000, 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SCHEMA = pa.schema(
@@ -167,12 +167,11 @@ class _Search:
     def run(self) -> list[list[int]]:
         least = math.ceil(sum(self.fill.values()) / self.capacity)
         while len(self.bins) > least:
-            a = min(self.bins, key=lambda b: (self.fill[b], b))
-            while self.bins[a] and self.step(a):
-                a = min(self.bins, key=lambda b: (self.fill[b], b))
-            if self.bins[a]:
+            emptiest = sorted((b for b, f in self.fill.items() if f < self.capacity), key=lambda b: (self.fill[b], b))[:SWEEP]
+            if not any(self.step(a) for a in emptiest):  # the emptiest that can trade does
                 break
-            del self.bins[a], self.fill[a]
+            for b in [b for b in emptiest if not self.bins[b]]:
+                del self.bins[b], self.fill[b]
         return list(self.bins.values())
 
 

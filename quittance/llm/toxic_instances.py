@@ -44,6 +44,9 @@ STEMS = (4, 5)
 LEAST_WEIGHT = 0.3
 #: Weight of the squared weights beside one document's loss.
 RIDGE = 0.005
+#: The log-odds that a sentence is toxic before its evidence. Not learned: where only toxic
+#: documents have any evidence, a learned one would take all that the words should say.
+BIAS = -4.0
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"\w+")
@@ -146,25 +149,24 @@ def _bags(words: dict[str, int]):
 
 def descend(
     labels: np.ndarray, bags: np.ndarray, sentences: np.ndarray, words: np.ndarray, start: np.ndarray, steps: int = 600
-) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the noisy-or of sentences fit the bags' labels.
+) -> np.ndarray:
+    """Weights that make the noisy-or of sentences fit the bags' labels.
 
     ``bags`` names each sentence's bag; ``sentences`` and ``words`` name the sentence and the
     word of each place. Plain gradient steps with Adam's scaling, from ``start``.
     """
-    values = np.append(start, -2.0)
+    values = start.copy()
     first, second = np.zeros_like(values), np.zeros_like(values)
     n, n_sentences = len(labels), len(bags)
     for step in range(1, steps + 1):
-        z = values[-1] + np.bincount(sentences, values[words], n_sentences)
+        z = BIAS + np.bincount(sentences, values[words], n_sentences)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         evidence = np.bincount(bags, np.logaddexp(0, z), n)  # minus the logarithm of no sentence being toxic
         slope = (1 - labels) - labels / np.expm1(np.clip(evidence, 1e-9, 50))
-        each = slope[bags] * p
-        gradient = np.append(np.bincount(words, each[sentences], len(start)) + RIDGE * values[:-1], each.sum()) / n
+        gradient = (np.bincount(words, (slope[bags] * p)[sentences], len(start)) + RIDGE * values) / n
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         values -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return values[:-1], float(values[-1])
+    return values
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, vocabulary: int = VOCABULARY) -> Model:
@@ -173,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, vocabu
     train = _training(docs, labels, train_docs)
     ratios = evidence(train, vocabulary)
     if not ratios:
-        return Model({}, 0.0)
+        return Model({}, BIAS)
     places = {w: i for i, w in enumerate(ratios)}
     found = train.mapInArrow(_bags(places), "toxic int, sentences array<array<int>>").toArrow().to_pydict()
     with_words = [(y, s) for y, s in zip(found["toxic"], found["sentences"], strict=True) if s]
@@ -186,8 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, vocabu
         labels_.append(y)
     as_int = lambda x: np.array(x, np.int64)
     start = np.array(list(ratios.values()))
-    weights, bias = descend(np.array(labels_, float), as_int(bags), as_int(sentences), as_int(words), start)
-    return Model({w: x for w, x in zip(places, weights.tolist(), strict=True) if x >= LEAST_WEIGHT}, bias)
+    weights = descend(np.array(labels_, float), as_int(bags), as_int(sentences), as_int(words), start)
+    return Model({w: x for w, x in zip(places, weights.tolist(), strict=True) if x >= LEAST_WEIGHT}, BIAS)
 
 
 # ---- scoring -----------------------------------------------------------------------------
