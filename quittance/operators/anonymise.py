@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -194,34 +195,49 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def _names_due(state: DataFrame, names: DataFrame, heads: DataFrame, head: int) -> DataFrame:
-    """``state`` with a row per name found in ``current`` that comes after ``last``.
+def _windows(text: Column, longest: int) -> Column:
+    """What starts at each character of a text, at most ``longest`` characters of it.
 
-    Names go longest first, then in alphabetical order. Every position of a text whose
-    first characters start some name is cut to the lengths such names have, and the
-    pieces meet the names by equality. That is at most one row per position and length,
-    and each piece meets at most one name.
+    The text is cut into characters once; finding a place in it anew for each one would
+    grow with the square of its length. A lambda's variable is not computed again.
     """
-    lower = F.lower("current")
-    spots = state.select(
-        *state.columns,
-        lower.alias("folded_text"),
-        F.explode(F.sequence(F.lit(1), F.greatest(F.length(lower), F.lit(1)))).alias("at"),
-    ).withColumn("head", F.substring("folded_text", F.col("at"), F.lit(head)))
-    pieces = (
-        spots.filter(F.length("head") == head)
-        .join(heads, "head")
-        .withColumn("length", F.explode("lengths"))
-        .filter(F.col("at") + F.col("length") - 1 <= F.length("folded_text"))
-        .withColumn("folded", F.substring("folded_text", F.col("at"), F.col("length")))
-    )
-    name = F.struct((-F.col("length")).alias("rank"), F.col("folded"))
-    return (
-        pieces.select(*state.columns, "folded", "length")
-        .join(names.select("folded"), "folded")
-        .select(*state.columns, name.alias("name"))
-        .filter(F.col("last").isNull() | (F.col("name") > F.col("last")))
-    )
+    characters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    from_each = lambda c: F.transform(c, lambda _, i: F.array_join(F.slice(c, i + 1, F.lit(longest)), ""))
+    return F.transform(F.array(characters), from_each)[0]
+
+
+class _Names(NamedTuple):
+    """Distinct names in lower case with their lengths, and which lengths each head has."""
+
+    folded: DataFrame
+    heads: DataFrame
+    head: int
+    longest: int
+
+    def due(self, state: DataFrame, *keys: str) -> DataFrame:
+        """``keys`` and each name found in ``current`` of their row that comes after ``last``.
+
+        Names go longest first, then in alphabetical order. Every position of a text whose
+        first characters start some name is cut to the lengths such names have, and the
+        pieces meet the names by equality. That is at most one row per position and length,
+        no longer than the longest name, and each piece meets at most one name.
+        """
+        pieces = (
+            state.select(*keys, "last", F.explode(_windows(F.lower("current"), self.longest)).alias("window"))
+            .withColumn("head", F.substring("window", 1, self.head))
+            .join(self.heads, "head")
+            .select(*keys, "last", "window", F.explode("lengths").alias("length"))
+            .filter(F.col("length") <= F.length("window"))
+            .withColumn("folded", F.substring("window", F.lit(1), F.col("length")))
+        )
+        name = F.struct((-F.col("length")).alias("rank"), F.col("folded"))
+        return (
+            pieces.select(*keys, "last", "folded", "length")
+            .join(self.folded.select("folded"), "folded")
+            .select(*keys, "last", name.alias("name"))
+            .filter(F.col("last").isNull() | (F.col("name") > F.col("last")))
+            .select(*keys, "name")
+        )
 
 
 def _without(text: Column, name: Column) -> Column:
@@ -243,7 +259,7 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     distinct = cut(
         names.select(F.lower("name").alias("folded")).distinct().withColumn("length", F.length("folded"))
     )
-    head, count = distinct.agg(F.min("length"), F.count("length")).first()
+    head, longest, count = distinct.agg(F.min("length"), F.max("length"), F.count("length")).first()
     if count == 0:
         return texts
     heads = distinct.groupBy(F.substring("folded", 1, head).alias("head")).agg(
@@ -252,12 +268,15 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     # there are no more heads than names
     heads = heads if count <= BROADCAST_ROWS else cut(heads)
     heads, distinct = (broadcast_if_small(f, count, BROADCAST_ROWS) for f in (heads, distinct))
+    all_names = _Names(distinct, heads, head, longest)
     none_yet = F.lit(None).cast("struct<rank:int,folded:string>")
-    active, finished = texts.withColumn("last", none_yet), []
+    # numbered and kept, so that only a number goes with the many pieces of a text
+    active = cut(texts.select(F.monotonically_increasing_id().alias("id"), "text", "current", none_yet.alias("last")))
+    finished = []
     while True:
         found = (
-            _names_due(active, distinct, heads, head)
-            .groupBy("text")
+            all_names.due(active, "id")
+            .groupBy("id")
             .agg(F.array_sort(F.collect_set("name")).alias("names"))  # those of one text
         )
         after_each = F.aggregate(
@@ -266,29 +285,32 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
             lambda done, name: F.concat(done, F.array(_without(F.element_at(done, -1), name))),
         )
         steps = cut(
-            active.join(found, "text", "left").select(
-                "text", "names", F.coalesce(after_each, F.array("current")).alias("steps")
+            active.join(found, "id", "left").select(
+                "id", "text", "names", F.coalesce(after_each, F.array("current")).alias("steps")
             )
         )
         between = (
             steps.filter(F.col("names").isNotNull())
-            .select("text", "names", F.posexplode("steps").alias("step", "current"))
+            .select("id", "names", F.posexplode("steps").alias("step", "current"))
             .filter(F.col("step") > 0)
             .withColumn("last", F.element_at("names", F.col("step")))
         )
         born = cut(
-            _names_due(between, distinct, heads, head)
+            all_names.due(between, "id", "step")
+            .distinct()
+            .join(steps.select("id", "names"), "id")
             .filter(~F.array_contains("names", F.col("name")))
-            .groupBy("text")
+            .groupBy("id")
             .agg(F.min("step").alias("step"))
         )
-        ended = steps.join(born, "text", "left")
+        ended = steps.join(born, "id", "left")
         finished.append(
             ended.filter(F.col("step").isNull()).select("text", F.element_at("steps", -1).alias("current"))
         )
         if born.isEmpty():
             return reduce(DataFrame.union, finished)
         active = ended.filter(F.col("step").isNotNull()).select(
+            "id",
             "text",
             F.element_at("steps", F.col("step") + 1).alias("current"),
             F.element_at("names", F.col("step")).alias("last"),

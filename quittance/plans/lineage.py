@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,18 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def store(frame: DataFrame) -> DataFrame:
+    """``frame`` written to the shared folder and read back.
+
+    Cuts the lineage like ``cut``, but what follows reads only the columns it needs, and
+    Spark knows the size when it picks a join.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def broadcast_if_small(stored: DataFrame, rows: int, limit: int) -> DataFrame:
     """A broadcast hint for a frame of narrow rows if its counted ``rows`` allow it.
 

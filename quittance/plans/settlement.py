@@ -7,7 +7,7 @@ need from those tables. ``publish`` makes a build visible only if its controls p
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -80,10 +80,15 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Folders of one warehouse, on any file system Spark can reach."""
+    """Folders of one warehouse, on any file system Spark can reach.
+
+    ``multi_line`` names the data sets whose fields may hold line breaks. Each of their
+    files is then read by one task, so large ones should come as several files.
+    """
 
     spark: SparkSession
     root: str
+    multi_line: Collection[str] = ()
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root.rstrip("/"), *parts))
@@ -103,7 +108,10 @@ class Warehouse:
         The mapping lives in ``private``, outside anything published. Ids already mapped
         keep their surrogates; new ones are appended.
         """
-        frames = {name: read_export(self.spark, paths) for name, paths in list_exports(self.spark, folder).items()}
+        frames = {
+            name: read_export(self.spark, paths, multi_line=name in self.multi_line)
+            for name, paths in list_exports(self.spark, folder).items()
+        }
         if not frames:
             raise FileNotFoundError(f"no CSVs found in {folder}")
         where = f"{private.rstrip('/')}/surrogate_mapping"
@@ -127,7 +135,7 @@ class Warehouse:
     # ---- loading ----
 
     def load(self, folder: str, run: Run | None = None) -> list[LoadResult]:
-        return self.raw.load_folder(folder, run)
+        return self.raw.load_folder(folder, run, multi_line=self.multi_line)
 
     def freshness(self, now: datetime | None = None) -> DataFrame:
         """Age of every raw table's newest load, the load log included.
@@ -210,14 +218,22 @@ class Outcome:
 
 
 def run(
-    spark: SparkSession, exports: str, warehouse: str, *, private: str | None = None, at: Run | None = None
+    spark: SparkSession,
+    exports: str,
+    warehouse: str,
+    *,
+    private: str | None = None,
+    at: Run | None = None,
+    multi_line: Collection[str] = (),
 ) -> Outcome:
     """Anonymise (if ``private`` says where the mapping goes), load, build, check, publish.
 
+    ``multi_line`` names the data sets whose fields may hold line breaks.
+
     Fails closed: nothing is built on an incomplete load or a stale source, and nothing
     is published on a failed control.
     """
-    house, this_run = Warehouse(spark, warehouse), at or Run.now()
+    house, this_run = Warehouse(spark, warehouse, multi_line), at or Run.now()
     folder = exports
     if private is not None:
         house.anonymise_folder(exports, private, this_run)

@@ -68,6 +68,12 @@ def size_of(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(where).getLength()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete intermediate data at a path, if there is any."""
+    system, where = _file_system(spark, path)
+    system.delete(where, True)
+
+
 def list_exports(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     """Data set name -> paths of its exports in a folder, on any Hadoop file system.
 

@@ -9,7 +9,7 @@ twice *within* one export are all kept.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quittance.functions import or_empty
-from quittance.sources.exports import committed_folders, path_exists, read_export
+from quittance.sources.exports import committed_folders, path_exists, read_export, remove
 from quittance.sources.specs import (
     EXPORTS,
     LOAD_LOG,
@@ -195,7 +195,9 @@ class RawStore:
         """Load one export; returns rows in the file and rows inserted.
 
         Counted while writing, after the join, so in the job's last stage: its tasks
-        report once each, even when executors are lost and tasks run again.
+        report once each, even when executors are lost and tasks run again. Where there are
+        earlier rows, the hashed export is stored for the time of the load: the file is
+        parsed once, and looking for new hashes reads one column of it.
         """
         earlier = [r for r in self.runs(table) if r != run.run_id]
         target = self.read(table, without=run.run_id) if earlier else None
@@ -208,12 +210,22 @@ class RawStore:
                     f"{file_name}: columns missing {sorted(set(order) - set(arrived))}, "
                     f"new {sorted(set(arrived) - set(order))}"
                 )
-        incoming, fresh = with_load_columns(export, file_name, run, order), None
-        if target is not None:
-            where = f"{self.root}/new_hashes/{table}/{run.run_id}"
-            new_hashes(incoming, target).write.mode("overwrite").parquet(where)
-            fresh = self.spark.read.schema("_packed_hash binary").parquet(where)
-        marked = mark_new(incoming, fresh)
+        incoming = with_load_columns(export, file_name, run, order)
+        if target is None:
+            return self._write(mark_new(incoming, None), table, run)
+        arriving = f"{self.root}/arriving/{table}/{run.run_id}"
+        try:
+            incoming = self._keep(incoming, f"{arriving}/rows")
+            fresh = self._keep(new_hashes(incoming, target), f"{arriving}/new_hashes")
+            return self._write(mark_new(incoming, fresh), table, run)
+        finally:
+            remove(self.spark, arriving)
+
+    def _keep(self, frame: DataFrame, path: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def _write(self, marked: DataFrame, table: str, run: Run) -> tuple[int, int]:
         counts = Observation(f"{table}-{run.run_id}")
         observed = marked.observe(
             counts, F.count(F.lit(1)).alias("rows"), F.count_if("_is_new").alias("new")
@@ -260,12 +272,16 @@ class RawStore:
         run: Run | None = None,
         *,
         exports: Sequence[Export] = EXPORTS,
-        multi_line: bool = False,
+        multi_line: Collection[str] = (),
     ) -> list[LoadResult]:
-        """Load every registered export of a folder and log the outcome of each."""
+        """Load every registered export of a folder and log the outcome of each.
+
+        ``multi_line`` names the data sets whose fields may hold line breaks; each of their
+        files is read by one task.
+        """
         run = run or Run.now()
         results = [
-            self.load_one(f"{folder.rstrip('/')}/{e.file_name}", e, run, multi_line=multi_line)
+            self.load_one(f"{folder.rstrip('/')}/{e.file_name}", e, run, multi_line=e.stem in multi_line)
             for e in exports
         ]
         self.write_log(results, run)

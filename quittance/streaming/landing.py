@@ -22,14 +22,15 @@ def follow(
     checkpoint: str,
     *,
     files_per_batch: int = 1000,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Load all files of ``folder`` not loaded before, then stop.
 
     The header of the files already there gives the columns; a file with another header
-    fails its batch.
+    fails its batch. ``multi_line`` is for fields with line breaks; a file is then one task.
     """
     spark = store.spark
-    columns = read_export(spark, folder).schema
+    columns = read_export(spark, folder, multi_line=multi_line).schema
 
     def load(batch: DataFrame, batch_id: int) -> None:
         run = Run.now()
@@ -40,6 +41,7 @@ def follow(
         spark.readStream.schema(columns)
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from scenarios import Scenario, write_csv
 
-from quittance.sources import loading, specs
+from quittance.plans.settlement import Warehouse
+from quittance.sources import exports, loading, specs
 from quittance.sources.exports import dataset_name, list_exports, read_export, write_export
 from quittance.sources.loading import FAILED, MISSING, OK, RawStore, Run
 from quittance.streaming.landing import follow
@@ -127,6 +128,7 @@ def test_hot_hash(store, spark):
     assert store.append(rows, "small.csv", "small", run(1)) == (30_000, 30_000)
     more = rows.union(spark.range(10).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("a")))
     assert store.append(more, "small.csv", "small", run(2)) == (30_010, 10)
+    assert not exports.path_exists(spark, f"{store.root}/arriving/small/{run(2).run_id}")
 
 
 def test_folder_load_goes_on_after_problems(store, spark, tmp_path):
@@ -184,6 +186,29 @@ def test_line_break_in_quotes(spark, tmp_path):
     assert read_export(spark, str(tmp_path / "x.csv"), multi_line=True).first().a == "two\nlines"
 
 
+LINE_BREAKS = 'Business ID,Business name,Campaign name\n1,Bob Cafe,"First\nsecond - Bob Cafe (bus id: 1)"\n'
+
+
+def test_line_breaks_go_through_anonymising_and_loading(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "small.csv").write_text(LINE_BREAKS)
+    house = Warehouse(spark, str(tmp_path / "house"), {"small"})
+    house.anonymise_folder(str(tmp_path / "in"), str(tmp_path / "private"), run(1))
+    folder = house.path("anonymised", run(1).run_id)
+    [result] = house.raw.load_folder(folder, run(1), exports=[EXPORT], multi_line=house.multi_line)
+    assert counts(result) == (OK, 1, 1, 0)
+    assert house.raw.read("small").first()["Campaign name"] == "First\nsecond (bus id: 9000001)"
+
+
+def test_line_breaks_go_through_the_stream(store, spark, tmp_path):
+    (tmp_path / "arriving").mkdir()
+    (tmp_path / "arriving" / "1.csv").write_text(LINE_BREAKS)
+    query = follow(store, str(tmp_path / "arriving"), EXPORT, str(tmp_path / "checkpoint"), multi_line=True)
+    query.awaitTermination(120)
+    assert query.exception() is None
+    assert store.read("small").first()["Campaign name"] == "First\nsecond - Bob Cafe (bus id: 1)"
+
+
 def test_files_of_one_export_share_a_header(spark, tmp_path):
     folder = tmp_path / "x.csv"
     folder.mkdir()
