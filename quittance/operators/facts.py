@@ -9,11 +9,20 @@ from quittance.functions import key_of, or_zero, per_unit, total
 from quittance.operators.reconcile import UNKNOWN_CHANNEL
 from quittance.operators.recovery import aging_bucket
 
-_FEES = ("subtotal", "staff_tip", "commission", "payment_processing_fee", "marketing_fees")
-_FUNDING = ("discounts_merchant_funded", "discounts_platform_funded", "marketing_credit")
-_LATER = ("thirdparty_contribution", "error_charges", "adjustments")
+# fixed values: the amounts that an order nets, and those that only its events carry
+ORDER_AMOUNTS = (
+    "subtotal",
+    "staff_tip",
+    "commission",
+    "payment_processing_fee",
+    "marketing_fees",
+    "discounts_merchant_funded",
+    "discounts_platform_funded",
+    "marketing_credit",
+)
+OTHER_AMOUNTS = ("thirdparty_contribution", "error_charges", "adjustments")
 
-EVENT_AMOUNTS = (*_FEES, *_FUNDING, *_LATER)
+EVENT_AMOUNTS = (*ORDER_AMOUNTS, *OTHER_AMOUNTS)
 PAYOUT_COMPONENTS = (*EVENT_AMOUNTS, "subtotal_tax_passed", "discounts_thirdparty_funded")
 BEFORE_ERRORS = (
     "subtotal",
@@ -94,8 +103,7 @@ def fct_orders(netted: DataFrame, error_events: DataFrame) -> DataFrame:
         "transaction_count",
         "has_reversal",
         "reversal_count",
-        *_FEES,
-        *_FUNDING,
+        *ORDER_AMOUNTS,
         or_zero(F.col("error_charge_amount")).alias("error_charge_amount"),
         or_zero(F.col("unrecovered_error_amount")).alias("unrecovered_error_amount"),
         F.coalesce("error_claim_count", none).alias("error_claim_count"),
