@@ -1,189 +1,211 @@
-"""Six weeks of exports with the awkward shapes the models exist for, as text rows.
+"""Four weeks of one kitchen's exports, small enough to work every outcome out by hand.
 
-168 orders from Monday 2025-01-06, four a day. Every 60th order is reversed and booked
-again, every 45th has a charge that a credit pays back, every 70th one that none does.
-One payout settles orders from before the window.
+Each day has one plain order per channel. CASES lists, entry by entry, the orders that are
+not plain. A week's entries are paid on the Wednesday after it; two payouts differ from the
+ledger, one at each edge of the window.
 """
 
 from __future__ import annotations
 
 import csv
-import random
-from datetime import date, datetime, timedelta
-from decimal import ROUND_HALF_UP, Decimal
+from collections import defaultdict
+from collections.abc import Iterator
+from datetime import date, datetime, time, timedelta
+from decimal import Decimal
 from pathlib import Path
+from typing import NamedTuple
 
 from quittance.sources import specs
 
-FIRST_DAY, DAYS, PER_DAY = date(2025, 1, 6), 42, 4
+OPENS, DAYS = date(2024, 3, 4), 28  # a Monday
 IDENTITY = {
-    "Business ID": "1204",
-    "Business name": "Golden Fork",
-    "Store ID": "77",
-    "Store name": "Golden Fork - Pier 9",
+    "Business ID": "5310",
+    "Business name": "Quay Kitchen",
+    "Store ID": "41",
+    "Store name": "Quay Kitchen - Dock 4",
     "Merchant store ID": "NULL",
 }
+ADDRESS = "4 Lower Dock"
+
+#: Amounts of an order of 1.00 beside its subtotal: one channel takes commission, the other a fee.
+RATES = {"Marketplace": ("Commission", Decimal("-0.20")), "Storefront": ("Payment processing fee", Decimal("-0.04"))}
+PLAIN = {"Marketplace": (time(12, 15), Decimal("14.20")), "Storefront": (time(18, 30), Decimal("9.50"))}
+
+
+class Entry(NamedTuple):
+    order: str
+    channel: str
+    at: datetime
+    kind: str
+    amount: Decimal
+    text: str = "NULL"
+
+
+# day since OPENS, clock, kind, amount, description; all on the marketplace
+CASES = {
+    "rebooked": [(2, "18:00", "Order", "40.00"), (2, "18:25", "Order", "-40.00"), (2, "18:40", "Order", "36.50")],
+    "cancelled": [(9, "12:00", "Order", "22.00"), (9, "12:10", "Order", "-22.00")],
+    "paid back in days": [
+        (3, "19:00", "Order", "25.00"),
+        (4, "09:00", "Error Charge", "-6.20", "Missing drink"),
+        (6, "09:00", "Adjustment", "6.20"),
+    ],
+    "paid back in a week": [
+        (10, "20:00", "Order", "48.00"),
+        (11, "08:00", "Error Charge", "-12.00", "Wrong dish"),
+        (16, "07:00", "Adjustment", "12.00"),
+    ],
+    "paid back in two weeks": [
+        (5, "13:00", "Order", "30.00"),
+        (6, "10:00", "Error Charge", "-7.50", "Poor food quality"),
+        (16, "10:00", "Adjustment", "7.50"),
+    ],
+    "paid back late": [
+        (1, "13:00", "Order", "16.00"),
+        (2, "10:00", "Error Charge", "-4.00", "2 items missing"),
+        (19, "10:00", "Adjustment", "4.00"),
+    ],
+    "never paid back": [(12, "19:30", "Order", "35.20"), (13, "11:00", "Error Charge", "-8.80", "Incorrect order")],
+    "paid back in part": [
+        (7, "19:30", "Order", "12.00"),
+        (8, "11:00", "Error Charge", "-3.00", "Courier was late"),
+        (10, "11:00", "Adjustment", "2.00"),
+    ],
+    "paid back twice": [
+        (14, "12:30", "Order", "20.00"),
+        (15, "11:00", "Error Charge", "-5.00", "Missing sauce"),
+        (16, "11:00", "Adjustment", "5.00"),
+        (17, "11:00", "Adjustment", "5.00"),
+    ],
+}
 
 
-def _cents(value) -> Decimal:
-    return Decimal(value).quantize(Decimal("0.01"), ROUND_HALF_UP)
-
-
-def payday(day: date) -> date:
-    """The first Thursday from ``day`` on, and a week more."""
-    week = (day + timedelta(days=n) for n in range(7))
-    return next(d for d in week if d.isoweekday() == 4) + timedelta(days=7)
-
-
-def _blank(export: specs.Export) -> dict[str, str]:
-    amounts = {"amount": "0.00", "count": "0"}
-    return {c.heading: amounts.get(c.cast, "NULL") for c in export.columns}
+def entries() -> Iterator[Entry]:
+    for n in range(DAYS):
+        day = OPENS + timedelta(days=n)
+        for channel, (clock, price) in PLAIN.items():
+            yield Entry(f"{channel} {day}", channel, datetime.combine(day, clock), "Order", price)
+    for order, told in CASES.items():
+        for n, clock, kind, amount, *text in told:
+            at = datetime.combine(OPENS + timedelta(days=n), time.fromisoformat(clock))
+            yield Entry(order, "Marketplace", at, kind, Decimal(amount), *text)
+
+
+def payday(at: datetime) -> date:
+    week = (at.date() - OPENS).days // 7
+    return OPENS + timedelta(days=7 * (week + 1) + 2)
+
+
+def amounts(entry: Entry) -> dict[str, Decimal]:
+    if entry.kind != "Order":
+        return {"Error charges" if entry.kind == "Error Charge" else "Adjustments": entry.amount}
+    fee, rate = RATES[entry.channel]
+    return {"Subtotal": entry.amount, fee: entry.amount * rate}
+
+
+def _row(export: specs.Export, **cells: object) -> dict[str, str]:
+    """A row of ``export``: zeros for amounts and counts, NULL elsewhere, then ``cells``."""
+    zero = {"amount": "0.00", "count": "0"}
+    return {c.heading: zero.get(c.cast, "NULL") for c in export.columns} | {k: str(v) for k, v in cells.items()}
+
+
+def _money(found: dict[str, Decimal]) -> dict[str, str]:
+    return {name: f"{value:.2f}" for name, value in found.items()}
+
+
+def _transaction(number: int, entry: Entry) -> dict[str, str]:
+    about = {
+        "DoorDash transaction ID": f"T{number:04}",
+        "DoorDash order ID": entry.order,
+        "Delivery UUID": "NULL" if entry.kind == "Order" else f"delivery of {entry.order}",
+        "Transaction type": entry.kind,
+        "Channel": entry.channel,
+        "Final order status": "Delivered",
+        "Description": entry.text,
+        "Timestamp local time": entry.at,
+        "Timestamp local date": entry.at.date(),
+        "Payout date": payday(entry.at),
+    }
+    return _row(specs.TRANSACTIONS, **IDENTITY, **about, **_money(amounts(entry)))
+
+
+def _fed(entry: Entry) -> dict[str, str]:
+    about = {
+        "Store address": ADDRESS,
+        "Timezone": "Europe/Oslo",
+        "Order placed date": entry.at.date(),
+        "Order placed time": entry.at.time(),
+        "Pickup timestamp": entry.at,
+        "Delivery date": entry.at.date(),
+        "Delivery time": entry.at.time(),
+        "Channel": entry.channel,
+        "Is cancelled": str(entry.order == "cancelled").lower(),
+        "Currency": "NOK",
+        "Subtotal": entry.amount,
+    }
+    return _row(specs.ORDER_FEED, **IDENTITY, **about)
+
+
+def _payouts(booked: list[Entry]) -> list[dict[str, str]]:
+    sums: dict[tuple[date, str], dict[str, Decimal]] = defaultdict(lambda: defaultdict(Decimal))
+    for entry in booked:
+        for name, value in amounts(entry).items():
+            sums[payday(entry.at), entry.channel][name] += value
+    # orders from before the first export
+    sums[OPENS + timedelta(days=2), "Marketplace"] = {"Subtotal": Decimal("612.40"), "Commission": Decimal("-122.48")}
+    # the last day's storefront order is left to a payout after the last export
+    held = max((e for e in booked if e.channel == "Storefront"), key=lambda e: e.at)
+    for name, value in amounts(held).items():
+        sums[payday(held.at), held.channel][name] -= value
+    found = []
+    for number, ((day, channel), parts) in enumerate(sorted(sums.items(), key=lambda item: item[0])):
+        about = {"Payout ID": f"P{number:02}", "Payout date": day, "Channel": channel, "Currency": "NOK"}
+        total = {"Payout status": "PAID", "Net total": f"{sum(parts.values()):.2f}"}
+        found.append(_row(specs.PAYOUTS, **IDENTITY, **about, **_money(parts), **total))
+    return found
+
+
+def _item(name: str, popular: bool, **sold: str) -> dict[str, str]:
+    when = {"Start date": OPENS, "End date": OPENS + timedelta(days=DAYS)}
+    about = {"Item name": name, "Channel": "Marketplace", "Popular item": int(popular)}
+    return _row(specs.PRODUCT_MIX, **IDENTITY, **when, **about, **sold)
+
+
+def _campaign(number: str, name: str, day: int, **seen: str) -> dict[str, str]:
+    when = {
+        "Date": OPENS + timedelta(days=day),
+        "Campaign start date": OPENS,
+        "Campaign end date": OPENS + timedelta(days=90),
+    }
+    store = {name: IDENTITY[name] for name in ("Store ID", "Store name")}
+    about = {"Campaign ID": number, "Campaign name": name, "Is self serve campaign": "false"}
+    return _row(specs.CAMPAIGNS, **store, **about, **when, **seen)
 
 
 class Scenario:
-    def __init__(self) -> None:
-        self.transactions: list[dict] = []
-        self.errors: list[dict] = []
-        self.feed: list[dict] = []
-        self.payouts: list[dict] = []
-        self._sums: dict[tuple[date, str], dict[str, Decimal]] = {}
-        for number in range(1, DAYS * PER_DAY + 1):
-            self._order(number)
-        self._pay()
-
-    def _book(self, order: str, at: datetime, channel: str, kind: str, delivery="NULL", text="NULL", **amounts):
-        row = _blank(specs.TRANSACTIONS) | IDENTITY
-        row |= {
-            "DoorDash transaction ID": str(10_000_000_001 + len(self.transactions)),
-            "DoorDash order ID": order,
-            "Delivery UUID": delivery,
-            "Transaction type": kind,
-            "Channel": channel,
-            "Final order status": "Delivered",
-            "Description": text,
-            "Timestamp local time": at.isoformat(sep=" "),
-            "Timestamp local date": at.date().isoformat(),
-            "Payout date": payday(at.date()).isoformat(),
-        }
-        row |= {name: str(value) for name, value in amounts.items()}
-        self.transactions.append(row)
-        sums = self._sums.setdefault((payday(at.date()), channel), {})
-        for name, value in amounts.items():
-            sums[name] = sums.get(name, Decimal(0)) + value
-        return row
-
-    def _error(self, booked: dict, day: date) -> None:
-        row = {c.heading: booked[c.heading] for c in specs.ERROR_CHARGES.columns} | IDENTITY
-        self.errors.append(row | {"Payout date": payday(day).isoformat()})
-
-    def _order(self, n: int) -> None:
-        i = (n - 1) % PER_DAY
-        day = FIRST_DAY + timedelta(days=(n - 1) // PER_DAY)
-        at = datetime(day.year, day.month, day.day, 12 + i % 8, 15 * (i % 4))
-        order, channel = f"F{n:07X}", "Storefront" if n % 37 == 0 else "Marketplace"
-        sub = _cents(Decimal(18) + (n % 23) * Decimal("1.35"))
-        com = -_cents(sub * Decimal("0.285"))
-        self._book(order, at, channel, "Order", Subtotal=sub, Commission=com)
-        feed = _blank(specs.ORDER_FEED) | IDENTITY
-        self.feed.append(
-            feed
-            | {
-                "Order placed date": day.isoformat(),
-                "Order placed time": at.time().isoformat(),
-                "Pickup timestamp": at.isoformat(sep=" "),
-                "Delivery date": day.isoformat(),
-                "Delivery time": at.time().isoformat(),
-                "Channel": channel,
-                "Is cancelled": "false",
-                "Currency": "USD",
-                "Timezone": "US/Eastern",
-                "Subtotal": str(sub),
-                "Store address": "9 Pier Road",
-            }
-        )
-        if n % 60 == 0:
-            self._book(order, at + timedelta(minutes=11), channel, "Order", Subtotal=-sub, Commission=-com)
-            self._book(order, at + timedelta(minutes=19), channel, "Order", Subtotal=sub, Commission=com)
-        for every, share, text, repaid in (
-            (45, "0.35", "1 Item missing", True),
-            (70, "0.5", "Entirely Wrong Order", False),
-        ):
-            if n % every:
-                continue
-            amount, delivery = _cents(sub * Decimal(share)), f"d{n:08d}-{every}"
-            charge = {"Error charges": -amount}
-            later = at + timedelta(days=1)
-            self._error(self._book(order, later, channel, "Error Charge", delivery, text, **charge), day)
-            if repaid:
-                credit = {"Adjustments": amount}
-                later = at + timedelta(days=3)
-                self._error(self._book(order, later, channel, "Adjustment", delivery, **credit), day)
-
-    def _pay(self) -> None:
-        early = min(day for day, _ in self._sums) - timedelta(days=7)
-        cutoff = {"Subtotal": Decimal("1450.00"), "Commission": Decimal("-413.25")}
-        groups = [((early, "Marketplace"), cutoff), *sorted(self._sums.items())]
-        for number, ((day, channel), sums) in enumerate(groups):
-            row = _blank(specs.PAYOUTS) | IDENTITY | {name: str(v) for name, v in sums.items()}
-            self.payouts.append(
-                row
-                | {
-                    "Payout ID": str(499_999 + number),
-                    "Payout date": day.isoformat(),
-                    "Channel": channel,
-                    "Currency": "USD",
-                    "Payout status": "PAID",
-                    "Net total": str(sum(sums.values())),
-                }
-            )
-
-    @property
-    def items(self) -> list[dict]:
-        return [
-            _blank(specs.PRODUCT_MIX)
-            | IDENTITY
-            | {
-                "Item name": f"Dish {name}",
-                "Channel": "Marketplace",
-                "Popular item": popular,
-                "Start date": "2025-01-06",
-                "End date": "2025-02-17",
-                "Gross sales": gross,
-                "Total sold": sold,
-                "Total item errors": errors,
-                "Total error charges": charges,
-            }
-            for name, popular, gross, sold, errors, charges in (
-                ("One", "1", "9820.50", "812", "9", "84.20"),
-                ("Two", "1", "4210.00", "355", "4", "38.75"),
-                ("Three", "0", "1980.25", "141", "2", "19.40"),
-                ("Four", "0", "610.75", "0", "3", "31.05"),
-            )
-        ]
-
-    @property
-    def campaigns(self) -> list[dict]:
-        return [
-            _blank(specs.CAMPAIGNS)
-            | {"Store ID": "77", "Store name": IDENTITY["Store name"]}
-            | {
-                "Campaign ID": "cmp-1",
-                "Campaign name": "Loyalty - golden fork - PIER 9 (bus id: 1204)",
-                "Is self serve campaign": "false",
-                "Date": (FIRST_DAY + timedelta(days=7 * week)).isoformat(),
-                "Campaign start date": "2025-01-06",
-                "Campaign end date": "2026-01-06",
-                "Orders": "2",
-                "Sales": "58.40",
-            }
-            for week in range(6)
-        ]
+    """The rows of every export."""
 
-    @property
-    def by_time(self) -> list[dict]:
-        return [
-            {"Start date": (FIRST_DAY + timedelta(days=d)).isoformat(), **IDENTITY, "Gross sales": "120.00"}
-            for d in range(DAYS)
+    def __init__(self) -> None:
+        booked = sorted(entries(), key=lambda e: (e.at, e.order))
+        self.transactions = [_transaction(n, e) for n, e in enumerate(booked, 1)]
+        first: dict[str, Entry] = {}
+        for entry in booked:
+            first.setdefault(entry.order, entry)
+        self.feed = [_fed(e) for e in first.values()]
+        named = [*IDENTITY, *(c.heading for c in specs.ERROR_CHARGES.columns)]
+        self.errors = [{n: t[n] for n in named} for t in self.transactions if t["Transaction type"] != "Order"]
+        self.payouts = _payouts(booked)
+        self.items = [
+            _item("Miso soup", True, **{"Gross sales": "1530.00", "Total sold": "204"},
+                  **{"Total item errors": "6", "Total error charges": "42.00"}),
+            _item("Rice bowl", False, **{"Gross sales": "880.00", "Total sold": "110"}),
+            _item("Tasting plate", False, **{"Total item errors": "1", "Total error charges": "5.00"}),
+        ]
+        soup = "Spring soup - quay kitchen - DOCK 4 (bus id: 5310)"
+        self.campaigns = [_campaign("c-soup", soup, day, Orders="3", Sales="61.50") for day in (0, 1, 2, 9)]
+        self.campaigns.append(_campaign("c-rain", "Rainy day", 20, Orders="1", Sales="14.20"))
+        self.by_time = [
+            {"Start date": str(OPENS + timedelta(days=n)), **IDENTITY, "Gross sales": "23.70"} for n in range(DAYS)
         ]
 
     def exports(self) -> dict[str, list[dict]]:
@@ -222,9 +244,3 @@ def frame(spark, rows: list[dict], export: specs.Export):
         "timestamp_ntz'2025-03-01 06:00:00' as _loaded_at",
         "'x' as _row_hash",
     )
-
-
-def shuffled(rows: list, seed: int) -> list:
-    out = list(rows)
-    random.Random(seed).shuffle(out)
-    return out

@@ -137,8 +137,8 @@ def test_folder_load_goes_on_after_problems(store, spark, tmp_path):
     (tmp_path / "in" / "sales_by_time.csv").write_text("a,b\n1\n")
     results = {r.target_table: r for r in store.load_folder(str(tmp_path / "in"), run(1))}
     assert len(results) == 8
-    assert counts(results["transactions_detailed"]) == (OK, 180, 180, 0)
-    assert counts(results["error_charges"]) == (OK, 8, 8, 0)
+    assert counts(results["transactions_detailed"]) == (OK, 82, 82, 0)
+    assert counts(results["error_charges"]) == (OK, 14, 14, 0)
     assert results["product_mix"].status == MISSING
     assert results["sales_by_time"].status == FAILED
     log = store.log()
