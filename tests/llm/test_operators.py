@@ -173,6 +173,14 @@ def test_quality_counts_and_verdicts(docs, no_docs):
     assert quality_cascade.judge(no_docs).count() == 0
 
 
+def test_repeated_lines_count_by_length(spark):
+    body = " ".join(f"word{i}" for i in range(40))
+    texts = [(1, f"A heading\n{body}\nA heading"), (2, f"{body}\nA line between\n{body}"), (3, None), (4, "")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    rules = [r for r in quality_cascade.SIGNS if r.name == "duplicate_lines"]
+    assert [r.doc_id for r in frame.where(quality_cascade.verdict(F.col("text"), rules).isNotNull()).collect()] == [2]
+
+
 @pytest.mark.parametrize("hot", [1, 5000])
 def test_repeated_windows_go(docs, no_docs, monkeypatch, hot):
     monkeypatch.setattr(phrase_automata, "HOT", hot)
