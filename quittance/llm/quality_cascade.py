@@ -130,7 +130,8 @@ BASE = (
 
 #: Further signs of text that is no prose. All are shares, so long texts are judged as short ones.
 SIGNS = (
-    Rule("symbols", _share(lambda t: count_in(t, f"[^{SYMBOLS}]+"), _word_count, 0.5)),
+    # a sign that stands alone is a word too, so a list of words with bars between them has 0.5 a word at most
+    Rule("symbols", _share(lambda t: count_in(t, f"[^{SYMBOLS}]+"), _word_count, 0.1)),
     Rule("capitals", _share(lambda t: count_in(t, "[^\\p{Lu}]+"), _letters, 0.6)),
     Rule("exclamations", _share(lambda t: count_in(t, "[^!]+"), _word_count, 0.5)),
     # by length: a short heading that comes again says little about a long text

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -173,6 +174,44 @@ def test_quality_counts_and_verdicts(docs, no_docs):
     assert quality_cascade.judge(no_docs).count() == 0
 
 
+def quality_kept(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    count = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(5)}
+    kinds = Counter(unicodedata.category(c) for c in text)
+    letters = sum(n for kind, n in kinds.items() if kind[0] == "L")
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    again = sum(map(len, lines)) - sum(map(len, set(lines)))
+    return (
+        len(words) >= 10
+        and 100 * len(repeated) <= 20 * len(words)
+        and len(re.findall(r"[#*$%&|<>]", text)) <= 0.1 * len(words)
+        and kinds["Lu"] <= 0.6 * letters
+        and text.count("!") <= 0.5 * len(words)
+        and again <= 0.3 * sum(map(len, lines))
+        and 2 <= sum(map(len, words)) / len(words) <= 20
+    )
+
+
+def test_kept_texts_are_those_of_a_plain_version(spark, docs):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=rnd.randint(2, 9)))
+    prose = [word() for _ in range(40)]
+    made = [" | ".join(prose), " ".join(prose), " ".join([*prose[:-4], *"#*|<"]), " ".join([*prose[:-5], *"#*|<&"])]
+    made += [" ".join(prose).upper(), "! ".join(prose), "! ".join(prose[:21]) + " " + " ".join(prose[21:])]
+    made += [" ".join(w * 9 for w in prose), " ".join("a1b2c3d4e5"[i % 10] for i in range(13)), " ".join(map(chr, range(0xC0, 0xD6)))]
+    made += ["\n".join([" ".join(prose[:9]), " ".join(prose[9:30]), " ".join(prose[:9])]), "Éa ÀB ßc " * 5 + " ".join(prose)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string")
+    kept = {r.doc_id: r.kept for r in quality_cascade.judge(frame).collect()}
+    assert kept == {i: quality_kept(t) for i, t in enumerate(made)}
+    assert not kept[0] and kept[1] and kept[2] and not kept[3]
+    for texts in (docs, table(spark, TESTDATA, "documents")):
+        expected = Counter((r.doc_id, quality_kept(r.text)) for r in texts.select("doc_id", "text").collect())
+        assert rows(quality_cascade.judge(texts).select("doc_id", "kept")) == expected
+
+
 def test_repeated_lines_count_by_length(spark):
     body = " ".join(f"word{i}" for i in range(40))
     texts = [(1, f"A heading\n{body}\nA heading"), (2, f"{body}\nA line between\n{body}"), (3, None), (4, "")]
