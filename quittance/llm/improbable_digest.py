@@ -1,12 +1,15 @@
 """Similarity digests of improbable features, compared by normalised bit overlap.
 
 A feature is a window of 64 bytes. Its entropy falls into one of CLASSES classes, and the
-rarer a window's class is in the whole corpus, the more the window says about its text. Where
-windows may start is decided by the bytes themselves, so an insertion doesn't shift them. Of
-every few neighbouring windows the rarest is voted for, and windows with enough votes are
-put, in order, into Bloom filters of 2048 bits; a filter takes 160 features, then the chain
-goes on with another. Two digests are alike by the bits their filters have in common, beyond
-what chance gives, as a share of what they could have.
+rarer a window's class is in the whole corpus, the more the window says about its text. The
+window at every byte is ranked, so an insertion doesn't shift them. Of every 64 neighbouring
+windows the first of the rarest is voted for, and windows with the votes of a quarter of the
+runs they can be in are put, in order, into Bloom filters of 2048 bits; a filter takes 160
+features, then the chain goes on with another. A text with under 512 windows lets fewer
+neighbours vote, down to one, so that all windows of a text with under 16 count. A text under
+three times 64, 16 or 4 bytes also has all its windows of 16, 4 or 1 bytes: where a third of
+its bytes stay as they were, something of it is found again. Two digests are alike by the bits
+their filters have in common, beyond what chance gives, as a share of what they could have.
 
 How it runs on Spark: one narrow pass counts the entropy classes of all texts, a table of at
 most CLASSES rows. Digests follow from a text alone, so equal texts have equal ones. To
@@ -14,11 +17,10 @@ compare each document with the next, documents are dealt into ranges of doc_id o
 count; each range also gets the first document of the range that follows, so one shuffle of
 the texts suffices and a task holds two neighbours at a time, whatever the range's size.
 
-Defined results: a null text counts as empty and has an empty digest; a text without a window
-has one feature, the whole text; two empty digests are alike (1), an empty and another are
-not (0). Documents with equal doc_ids follow each other by a hash of the text, null doc_ids
-come last; a single document is followed by itself; an empty table gives an empty result;
-other columns are ignored.
+Defined results: a null text counts as empty and has an empty digest; two empty digests are
+alike (1), an empty and another are not (0). Documents with equal doc_ids follow each other by
+a hash of the text, null doc_ids come last; a single document is followed by itself; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,64 +40,99 @@ from quittance.llm.common import narrow_batches, rows, slices, text_buffers
 from quittance.llm.tokens import hash_spans
 
 WINDOW = 64
-#: One byte in so many starts a window, as its surroundings decide.
-SPACING = 16
+#: Widths of the windows of short texts, all of which are features.
+SHORT = (16, 4, 1)
 CLASSES = 256
-#: Neighbouring windows that vote, and the votes that a feature needs.
-VOTERS, VOTES = 4, 2
+#: Neighbouring windows that vote in a long text are 2 ** LEVELS, and fewer in one with under 16 times as many windows.
+LEVELS = 6
 FILTER_BITS, FILTER_FEATURES, HASHES = 2048, 160, 5
 #: Documents of one range, about.
 RANGE = 2_000
 
 _BASE = 0xC2B2AE3D27D4EB4F
-_STARTS = np.random.default_rng(64).integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-#: What the k-th equal byte of a window adds to the sum of n log n.
-_GROWTH = np.diff([n * math.log2(n) if n else 0.0 for n in range(WINDOW + 1)])
+#: What the k-th equal byte of a window adds to the sum of n log n, in whole steps of which 2 ** 20 are a class.
+_UNIT = 20
+_SUMS = [n * math.log2(n) / (WINDOW * math.log2(WINDOW)) * (CLASSES - 1) * (1 << _UNIT) if n else 0.0 for n in range(WINDOW + 1)]
+_SUMS = np.rint(_SUMS).astype(np.int32)
+_GROWTH = np.diff(_SUMS, prepend=np.int32(0))
+#: Windows for which bytes are compared at a time, so that they stay in a processor's cache.
+_BLOCK = 1 << 16
 
 
 # ---- features ----------------------------------------------------------------------------
 
 
-def starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where windows start, and in which text: a window and the byte before it lie in one."""
-    if len(data) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    mixed = _STARTS[data].copy()
-    for width in (1, 2):  # four bytes decide
-        mixed[: len(mixed) - width] += _STARTS[data[width:]] * np.uint64(2 * width + 1) ^ mixed[width:] << np.uint64(width)
-    at = np.flatnonzero(mixed >> np.uint64(64 - (SPACING.bit_length() - 1)) == 0)
-    text = np.searchsorted(offsets, at, "right") - 1
-    inside = at + WINDOW <= offsets[text + 1]
-    return at[inside], text[inside]
-
-
-def entropy_classes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The entropy class of the window at each place: 0 for one byte only, the last for all different."""
-    found = np.zeros(len(at), np.int64)
-    for part in range(0, len(at), 8192):
-        place = at[part : part + 8192]
-        windows = np.sort(data[place[:, None] + np.arange(WINDOW)], axis=1)
-        run_start = np.zeros(windows.shape, np.int8)
-        run_start[:, 1:] = np.where(windows[:, 1:] != windows[:, :-1], np.arange(1, WINDOW, dtype=np.int8), 0)
-        rank = np.arange(WINDOW, dtype=np.int8) - np.maximum.accumulate(run_start, axis=1)
-        entropy = math.log2(WINDOW) - _GROWTH[rank].sum(1) / WINDOW
-        found[part : part + 8192] = np.rint(entropy / math.log2(WINDOW) * (CLASSES - 1))
+def entropy_classes(data: np.ndarray) -> np.ndarray:
+    """The entropy class of the window at every byte: 0 for one byte only, the last for all different."""
+    n = max(0, len(data) - WINDOW + 1)
+    found = np.empty(n, np.uint8)
+    for start in range(0, n, _BLOCK):
+        part = data[start : start + _BLOCK + WINDOW - 1]
+        # bytes equal to each in the window that it begins, and in the one that it ends
+        ahead, behind = np.ones(len(part), np.uint8), np.ones(len(part), np.uint8)
+        for k in range(1, WINDOW):
+            same = (part[k:] == part[:-k]).view(np.uint8)
+            ahead[:-k] += same
+            behind[k:] += same
+        sums = np.empty(len(part) - WINDOW + 1, np.int32)
+        sums[0] = _SUMS[np.bincount(part[:WINDOW], minlength=256)].sum()
+        sums[1:] = _GROWTH[behind[WINDOW:]] - _GROWTH[ahead[: len(sums) - 1]]
+        np.cumsum(sums, dtype=np.int32, out=sums)
+        found[start : start + len(sums)] = CLASSES - 1 - ((sums + (1 << (_UNIT - 1))) >> _UNIT)
     return found
 
 
-def select(rarity: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """The windows that get enough votes: one from each VOTERS neighbours, the first of the rarest."""
-    n = len(rarity)
-    votes = np.zeros(n, np.int64)
-    if n:
-        alone = np.bincount(text)[text] < VOTERS  # too few to vote: all count
-        votes[alone] = VOTES
-    if n >= VOTERS:
-        near = np.lib.stride_tricks.sliding_window_view(rarity, VOTERS)
-        first = np.arange(n - VOTERS + 1)
-        same = text[first] == text[first + VOTERS - 1]
-        np.add.at(votes, (first + near.argmin(1))[same], 1)
-    return np.flatnonzero(votes >= VOTES)
+def across(offsets: np.ndarray, n: int) -> np.ndarray:
+    """Which of the ``n`` windows end in another text than they start in."""
+    found = np.zeros(n, bool)
+    for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        found[max(start, end - WINDOW + 1) : end] = True
+    return found
+
+
+def select(rank: np.ndarray, outside: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The windows that get enough votes: one from each run of neighbours, the first of the rarest.
+
+    Runs go over the ends of a text, so that its rarest window always has the votes of all runs
+    it is in. A window that wins among more neighbours also wins among fewer.
+    """
+    windows = np.maximum(0, np.diff(offsets) - WINDOW + 1)
+    level = np.minimum(np.frexp(windows // 16)[1], LEVELS)  # half the voters for half the windows, one for under 16
+    kind, bits = (np.uint32, 24) if len(rank) < (1 << 24) - 2 * WINDOW else (np.uint64, 48)
+    none = np.iinfo(kind).max
+    votes = np.full(len(rank) + 2 * (WINDOW - 1), none, kind)
+    inner = votes[WINDOW - 1 : WINDOW - 1 + len(rank)]
+    inner[:] = rank
+    inner <<= kind(bits)
+    inner |= np.arange(len(rank), dtype=kind)
+    inner[outside] = none  # WINDOW - 1 of them end each text, so no run meets two texts
+    found = []
+    for k in range(LEVELS + 1):
+        if k:
+            votes = np.minimum(votes[: -(1 << (k - 1))], votes[1 << (k - 1) :])
+        if not (windows[level == k] > 0).any():
+            continue
+        first = np.flatnonzero(np.append(True, votes[1:] != votes[:-1]))  # winners only move on
+        won = votes[first[(np.diff(np.append(first, len(votes))) >= max(1, (1 << k) // 4))]]
+        at = (won[won != none] & kind((1 << bits) - 1)).astype(np.int64)
+        found.append(at[level[np.searchsorted(offsets, at, "right") - 1] == k])
+    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def features(data: np.ndarray, offsets: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the features of the texts start and end: the windows voted for, then all those of short texts."""
+    classes = entropy_classes(data)
+    at = select(rarity.astype(np.uint8)[classes], across(offsets, len(classes)), offsets)
+    starts, ends = [at], [at + WINDOW]
+    lengths = np.diff(offsets)
+    for wider, width in zip((WINDOW, *SHORT), SHORT, strict=False):
+        # a third of a text of 3 * wider bytes, the least that a changed third leaves in common, holds a wider window
+        short = np.flatnonzero((lengths >= width) & (lengths < 3 * wider))
+        n = lengths[short] - width + 1
+        at = np.repeat(offsets[short] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        starts.append(at)
+        ends.append(at + width)
+    return np.concatenate(starts), np.concatenate(ends)
 
 
 class Digest(NamedTuple):
@@ -114,24 +150,19 @@ def digests(texts: list[bytes], rarity: np.ndarray) -> list[Digest]:
     """``rarity`` gives each entropy class's rank, the rarest first."""
     offsets = np.cumsum([0, *map(len, texts)])
     data = np.frombuffer(b"".join(texts), np.uint8)
-    at, text = starts(data, offsets)
-    kept = select(rarity[entropy_classes(data, at)], text)
-    at, text = at[kept], text[kept]
-    hashes = hash_spans(data, at, at + WINDOW, _BASE)
+    start, end = features(data, offsets, rarity)
+    text = np.searchsorted(offsets, start, "right") - 1
+    order = np.argsort(text, kind="stable")
+    text, hashes = text[order], hash_spans(data, start, end, _BASE)[order]
     # a feature counts once in a text, where it comes first
     _, first = np.unique(np.stack([text.astype(np.uint64), hashes]), axis=1, return_index=True)
     first.sort()
     text, hashes = text[first], hashes[first]
-    without = np.setdiff1d(np.flatnonzero(np.diff(offsets)), text)
-    if len(without):
-        whole = np.array([xxhash.xxh64_intdigest(texts[i], 7) for i in without], np.uint64)
-        order = np.argsort(np.concatenate([text, without]), kind="stable")
-        text, hashes = np.concatenate([text, without])[order], np.concatenate([hashes, whole])[order]
-    features = np.bincount(text.astype(np.int64), minlength=len(texts))
-    chain = np.ceil(features / FILTER_FEATURES).astype(np.int64)
+    counts = np.bincount(text, minlength=len(texts))
+    chain = np.ceil(counts / FILTER_FEATURES).astype(np.int64)
     first_filter = np.cumsum(chain) - chain
-    number = np.arange(len(text)) - np.repeat(np.cumsum(features) - features, features)
-    filter_of = first_filter[text.astype(np.int64)] + number // FILTER_FEATURES
+    number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    filter_of = first_filter[text] + number // FILTER_FEATURES
     bits = np.zeros((int(chain.sum()), FILTER_BITS), bool)
     for k in range(HASHES):
         bits[filter_of, (hashes >> np.uint64(11 * k) & np.uint64(FILTER_BITS - 1)).astype(np.int64)] = True
@@ -162,7 +193,8 @@ def _count_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     counts = np.zeros(CLASSES, np.int64)
     for batch in slices(batches, "text"):
         data, offsets = text_buffers(batch.column("text"))
-        counts += np.bincount(entropy_classes(data, starts(data, offsets)[0]), minlength=CLASSES)
+        classes = entropy_classes(data)
+        counts += np.bincount(classes[~across(offsets, len(classes))], minlength=CLASSES)
     yield rows(pa.schema([("class", pa.int32()), ("n", pa.int64())]), np.arange(CLASSES, dtype=np.int32), counts)
 
 

@@ -1,6 +1,7 @@
 """Each operator against a plain version, on texts with all the awkward cases."""
 
 import hashlib
+import math
 import random
 import re
 import unicodedata
@@ -293,6 +294,37 @@ def test_digests_follow_the_edit(docs, no_docs):
     assert marks[ROWS[0][0]] == marks[ROWS[70][0]]  # an exact copy
 
 
+def test_every_window_is_ranked_and_may_be_voted_for():
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choices("abcdé fg", k=n)).encode() for n in (0, 5, 63, 64, 70, 90, 150, 300, 700, 1500)] + [b"x" * 400]
+    rarity, expected = np.random.default_rng(9).permutation(256), []
+    offsets = np.cumsum([0, *map(len, texts)])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    for text, start in zip(texts, offsets.tolist(), strict=False):
+        classes = []
+        for i in range(len(text) - 63):
+            counts = Counter(text[i : i + 64]).values()
+            classes.append(round((6 - sum(n * math.log2(n) for n in counts) / 64) / 6 * 255))
+        assert improbable_digest.entropy_classes(np.frombuffer(text, np.uint8)).tolist() == classes
+        voters = next((v for v in (1, 2, 4, 8, 16, 32) if len(classes) < 16 * v), 64)
+        votes = Counter()
+        for i in range(1 - voters, len(classes)):
+            votes[min(range(max(0, i), min(i + voters, len(classes))), key=lambda j: (rarity[classes[j]], j))] += 1
+        expected += [start + j for j in sorted(votes) if votes[j] >= max(1, voters // 4)]
+    ranks = rarity.astype(np.uint8)[improbable_digest.entropy_classes(data)]
+    assert improbable_digest.select(ranks, improbable_digest.across(offsets, len(ranks)), offsets).tolist() == expected
+
+
+def test_short_texts_are_alike_after_an_edit(spark):
+    rnd = random.Random(10)
+    texts = ["".join(rnd.choices("abcdefghijklmn opq", k=n)) for n in [*range(3, 300, 3), *range(300, 400, 10)] for _ in range(2)]
+    texts += ["".join(rnd.choices("日本語é", k=n)) for n in range(3, 130)]
+    found = improbable_digest.compare_neighbours(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(found) == len(texts)
+    assert [r.n_chars for r in found if r.near_edited == 0] == []
+    assert np.median([r.near_edited for r in found]) > 0.3 > np.median([r.near_next for r in found]) + 0.2
+
+
 def test_shards_are_even_and_slots_gapless(docs, no_docs):
     placed = kd_shards.assign(docs, 5).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in placed) == Counter(
