@@ -1,6 +1,7 @@
 """Each operator against a plain version, on texts with all the awkward cases."""
 
 import hashlib
+import html.entities
 import math
 import random
 import re
@@ -413,6 +414,24 @@ def test_records_point_to_their_response(spark, tmp_path):
     assert written.count("WARC/1.1\r\n") == 6 and written.endswith("\r\n\r\n")
 
 
+def test_all_character_references_are_decoded(spark):
+    names = sorted(html.entities.html5)  # some without a semicolon
+    parts = [f"a&{n} b" for n in names if html.unescape(f"&{n}").strip()] + [f"&#{n};" for n in (33, 128, 169, 8364, 128512, 0, 1, 55296, 1 << 30)]
+    parts += ["&#xA9;", "&#Xe9", "&copy2", "&notit;", "&amp;lt;", "&amp;amp;copy;", "&unknown;", "AT&T", "& ", "&;", "&#;", "&nbsp;x&#160;y"]
+    pages = [(i, "http://a/", f"<title>{p}|{p}</title><p>x{p}x</p>") for i, p in enumerate(parts)] + [(len(parts), None, None)]
+    pages.append((-1, "u", "<title>A&#13;&#10;B: c</title>"))
+    source = warc_derivatives.responses(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    made = {(r.page_id, r.record_type): r.block for r in warc_derivatives.derive(source).collect()}
+    title = lambda i: re.search("title: ([^\r]*)\r\n", made[i, "metadata"])[1]
+    space = lambda t: re.sub(" ?\n[ \n]*", "\n", re.sub("[ \t\r\f]+", " ", t)).strip(" \n")
+    for i, part in enumerate(parts):
+        plain = [html.unescape(t).replace("\xa0", " ") for t in (f"{part}|{part}", f"x{part}x")]
+        assert made[i, "conversion"] == space("\n".join(plain)), part
+        assert title(i) == re.sub("[\r\n]+", " ", plain[0]), part
+        assert f"text-length: {len(made[i, 'conversion'].encode())}\r\n" in made[i, "metadata"]
+    assert made[len(parts), "conversion"] == "" and title(-1) == "A B: c"
+
+
 def test_pipeline_stages_chain(spark):
     import corpus_pipeline as pipeline
 
