@@ -20,6 +20,7 @@ from quittance.llm import (
     toxic_instances,
     url_cascade,
     warc_derivatives,
+    word_shuffle,
 )
 from quittance.llm.common import table
 
@@ -60,6 +61,7 @@ _QUERIES: dict[str, Query] = {
     "op8_toxic_instances": lambda spark, d: toxic_instances.judged(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_swap_packing": lambda spark, d: swap_packing.pack(table(spark, d, "documents")),
     "op10_kd_shards": lambda spark, d: kd_shards.assign(table(spark, d, "documents")),
+    "op11_word_shuffle": lambda spark, d: word_shuffle.digests(table(spark, d, "documents")),
     "pipeline": corpus_pipeline.run,
 }
 
