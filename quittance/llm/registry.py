@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quittance.llm import (
+    audit_repair,
     bpe_reuse,
     improbable_digest,
     kd_shards,
@@ -62,6 +63,7 @@ _QUERIES: dict[str, Query] = {
     "op9_swap_packing": lambda spark, d: swap_packing.pack(table(spark, d, "documents")),
     "op10_kd_shards": lambda spark, d: kd_shards.assign(table(spark, d, "documents")),
     "op11_word_shuffle": lambda spark, d: word_shuffle.digests(table(spark, d, "documents")),
+    "op12_audit_repair": lambda spark, d: audit_repair.damage_and_repair(table(spark, d, "conversations")),
     "pipeline": corpus_pipeline.run,
 }
 
