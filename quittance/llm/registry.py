@@ -15,6 +15,7 @@ from quittance.llm import (
     improbable_digest,
     kd_shards,
     phrase_automata,
+    prefix_trie,
     quality_cascade,
     simhash_ring,
     swap_packing,
@@ -64,6 +65,7 @@ _QUERIES: dict[str, Query] = {
     "op10_kd_shards": lambda spark, d: kd_shards.assign(table(spark, d, "documents")),
     "op11_word_shuffle": lambda spark, d: word_shuffle.digests(table(spark, d, "documents")),
     "op12_audit_repair": lambda spark, d: audit_repair.damage_and_repair(table(spark, d, "conversations")),
+    "op13_prefix_trie": lambda spark, d: prefix_trie.shared_beginnings(table(spark, d, "conversations")),
     "pipeline": corpus_pipeline.run,
 }
 
@@ -72,4 +74,5 @@ QUERIES = {name: _importable(query) for name, query in _QUERIES.items()}
 ORACLE: dict[str, str] = {
     "op2_url_cascade": url_cascade.ORACLE,
     "op6_warc_derivatives": warc_derivatives.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }
