@@ -463,3 +463,100 @@ def repair(damaged: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def damage_and_repair(conversations: DataFrame) -> DataFrame:
     return repair(damage(conversations))
+
+
+ORACLE = r"""
+with recursive given as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        -- CRC-32 of conv_id:turn, bit by bit
+        xor(list_reduce(
+            list_prepend(4294967295::bigint, list_transform(
+                string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda a, k: xor(a >> 1, (a & 1) * 3988292384))
+        ), 4294967295::bigint) % 20 as kind
+    from conversations
+),
+damaged as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+        case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+        unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy
+    from given
+),
+placed as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as place,
+        trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as solid
+    from damaged
+),
+told as (
+    select *, role[1:1] as initial, lag(role[1:1]) over (partition by conv_id order by place) as before,
+        case
+            when solid = '' then 'blank'
+            when row_number() over (partition by conv_id, role, text order by place) > 1 then 'duplicate'
+            when right(solid, 1) not in ('.', '!', '?') then 'truncated'
+            else 'none'
+        end as fault
+    from placed
+),
+-- states: nothing yet 0, after system 1, after user 2, after assistant 3; where insertions lead
+inserted(origin, used, state) as (
+    values (0, 0, 0), (0, 1, 2), (0, 2, 3), (1, 0, 1), (1, 1, 2), (1, 2, 3), (2, 0, 2), (2, 1, 3), (3, 0, 3), (3, 1, 2)
+),
+-- where an edit of a row with an initial leads; null: any initial
+edits(letter, price, state, initial, ending) as (
+    values ('D', 2, 0, null, 0), ('D', 2, 1, null, 1), ('D', 2, 2, null, 2), ('D', 2, 3, null, 3),
+        ('R', 1, 0, null, 2), ('R', 1, 1, null, 2), ('R', 1, 2, null, 3), ('R', 1, 3, null, 2),
+        ('K', 0, 0, 's', 1), ('K', 0, 0, 'u', 2), ('K', 0, 1, 'u', 2), ('K', 0, 2, 'a', 3), ('K', 0, 3, 'u', 2)
+),
+ways as (
+    select distinct conv_id, 0::bigint as place, 0 as state, {'cost': 0, 'audit': ''} as way from conversations
+    union all
+    select ways.conv_id, told.place, edits.ending, min({
+            'cost': ways.way.cost + 5 * used + price + case when fault = 'truncated' and letter <> 'D' then 5 else 0 end,
+            'audit': ways.way.audit || repeat('I', used::bigint) || letter
+        })
+    from ways
+    join told on told.conv_id is not distinct from ways.conv_id and told.place = ways.place + 1
+    join inserted on inserted.origin = ways.state
+    join edits on edits.state = inserted.state and coalesce(edits.initial, told.initial) = told.initial
+        and (letter = 'D' or fault not in ('blank', 'duplicate'))
+    group by ways.conv_id, told.place, edits.ending
+),
+lengths as (select conv_id, max(place) as n from ways group by conv_id),
+best as (
+    select ways.conv_id, min({'cost': way.cost + 5 * used, 'audit': way.audit || repeat('I', used::bigint)}) as way
+    from ways
+    join lengths on lengths.conv_id is not distinct from ways.conv_id and lengths.n = ways.place
+    join inserted on inserted.origin = ways.state and inserted.state in (0, 3)
+    group by ways.conv_id
+),
+letters as (
+    select conv_id, i, way.audit[i:i] as letter from (select conv_id, way, unnest(range(1, length(way.audit) + 1)) as i from best)
+),
+met as (
+    select *, sum((letter <> 'I')::int) over before as place, sum((letter <> 'D')::int) over before as said
+    from letters window before as (partition by conv_id order by i)
+),
+lines as (
+    select met.conv_id, i, letter, said, role, text,
+        max((said = 1 and letter = 'K' and initial = 's')::int) over (partition by met.conv_id) as system
+    from met left join told on told.conv_id is not distinct from met.conv_id and told.place = met.place and letter <> 'I'
+),
+repaired as (
+    select conv_id, string_agg(
+            case when letter = 'K' then role when (said - system) % 2 = 1 then 'user' else 'assistant' end
+            || ':' || case when letter = 'I' then '' else text end, chr(10) order by i) filter (letter <> 'D') as text
+    from lines group by conv_id
+),
+faults as (
+    select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (fault = 'blank') as blank,
+        count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+        count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+    from told group by conv_id
+)
+select best.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+    coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.way.cost::bigint as cost, best.way.audit as audit,
+    sha256(coalesce(repaired.text, '')) as repaired_sha256
+from best
+left join faults on faults.conv_id is not distinct from best.conv_id
+left join repaired on repaired.conv_id is not distinct from best.conv_id
+"""

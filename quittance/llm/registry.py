@@ -74,5 +74,6 @@ QUERIES = {name: _importable(query) for name, query in _QUERIES.items()}
 ORACLE: dict[str, str] = {
     "op2_url_cascade": url_cascade.ORACLE,
     "op6_warc_derivatives": warc_derivatives.ORACLE,
+    "op12_audit_repair": audit_repair.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,
 }
