@@ -1,28 +1,40 @@
 """Matching each error charge to the later credit that gives the money back.
 
-A charge and a credit belong together when they name the same delivery, the credit is
-not earlier than the charge, their amounts agree within a tolerance, and each is the
-other's first choice: the charge's earliest such credit, and the credit's earliest such
-charge. Ties go by transaction id, as text.
-
-Listing all charge x credit pairs to rank them is quadratic in a busy delivery. It is
-not needed. Among charges of one delivery and one amount, every credit's first choice is
-the same charge: the earliest of them all (if the credit is late enough for any of them,
-it is late enough for that one). So only the earliest charge per (delivery, amount) can
-be matched at all, and its partner is the earliest credit not before it. That leaves one
-aggregate over charges, a join that meets each credit at most once per amount within the
-tolerance, and one aggregate over what it yields. All of them combine map-side, and the
-join's one-row-per-key side lets adaptive execution split a hot key on the other side.
+A charge and a credit fit when they name the same delivery, the credit is not earlier than
+the charge, and their amounts agree within a tolerance. Ties go by transaction id, as text.
+There are two ways to choose among what fits:
+
+``mutual`` (the default): each is the other's first choice, the charge's earliest such
+credit and the credit's earliest such charge. Listing all charge x credit pairs to rank them
+is quadratic in a busy delivery. It is not needed. Among charges of one delivery and one
+amount, every credit's first choice is the same charge: the earliest of them all (if the
+credit is late enough for any of them, it is late enough for that one). So only the earliest
+charge per (delivery, amount) can be matched at all, and its partner is the earliest credit
+not before it. That leaves one aggregate over charges, a join that meets each credit once,
+and one aggregate over what it yields. With a tolerance of a cent or more, both first choices
+are searches in a range of amounts, each answered from a few aligned intervals of amounts.
+
+``one_to_one``: as many charges as can be get a credit of their own. Within a delivery and
+amount, events in order of time form a queue: each credit serves the charge that has waited
+longest, and a credit that finds none waiting is left over. A running balance tells which
+credits are left over, and the nth charge belongs to the nth credit that isn't.
+
+Running balances and searches in time go in two steps, within slots of time and over the
+slots of a group, so a delivery with a large share of all rows is spread over tasks.
 """
 
 from __future__ import annotations
 
 from decimal import ROUND_CEILING, Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CENT = Decimal("0.01")
+MUTUAL, ONE_TO_ONE = "mutual", "one_to_one"
+
+#: A group's events are split by the hour before they are put in order: so much of a moment as text.
+SLOT = len("2025-01-06 12")
 
 # First hit wins.
 CLAIM_TYPES = (
@@ -76,55 +88,215 @@ def _cents_within(tolerance: Decimal | float | str) -> int:
     return int(steps) - 1
 
 
-def _bucket(amount: str, width: int) -> Column:
-    """Start of the amount's bucket, ``width`` cents wide, in cents."""
-    cents = (F.col(amount) * 100).cast("bigint")
-    return cents - F.pmod(cents, F.lit(width))
+def _slot(moment: str) -> Column:
+    return F.substring(F.col(moment).cast("string"), 1, SLOT).alias("slot")
+
+
+def _in_cents(amount: str) -> Column:
+    return (F.col(amount) * 100).cast("bigint")
 
 
 def match_pairs(
-    charges: DataFrame, credits: DataFrame, *, tolerance: Decimal | float | str = "0.005"
+    charges: DataFrame, credits: DataFrame, *, tolerance: Decimal | float | str = "0.005", mode: str = MUTUAL
 ) -> DataFrame:
-    """Mutual first choices: ``charge_transaction_id, credit_transaction_id, credited_at``.
+    """Who belongs to whom: ``charge_transaction_id, credit_transaction_id, credited_at``.
 
-    Transaction ids are taken to be unique, which the ``unique`` controls enforce.
+    Transaction ids are taken to be unique, which the ``unique`` controls enforce; a charge or
+    credit without one is in no pair.
     """
     cents = _cents_within(tolerance)
+    if mode == ONE_TO_ONE:
+        if cents:
+            raise ValueError("one to one needs equal amounts: a tolerance of a cent at most")
+        return _one_to_one(charges, credits)
+    if mode != MUTUAL:
+        raise ValueError(f"mode is {MUTUAL} or {ONE_TO_ONE}, not {mode}")
     first = (
         charges.filter(F.col("charged_at").isNotNull() & F.col("charge_amount").isNotNull())
         .groupBy("delivery_uuid", "charge_amount")
         .agg(_earliest("charged_at", "charge_transaction_id").alias("charge"))
+        .withColumn("cents", _in_cents("charge_amount"))
     )
-    # Amounts within the tolerance lie in the same or a neighbouring bucket of that width.
-    width = cents + 1
-    first = first.withColumn("bucket", _bucket("charge_amount", width))
-    if cents > 0:
-        near = F.array(*[F.col("bucket") + step for step in (-width, 0, width)])
-        first = first.withColumn("bucket", F.explode(near))
-    later = credits.withColumn("bucket", _bucket("credit_amount", width)).join(first, ["delivery_uuid", "bucket"])
-    later = later.filter(
-        (F.col("credited_at") >= F.col("charge.at"))
-        & (F.abs(F.col("credit_amount") - F.col("charge_amount")) <= F.lit(cents * CENT))
-    )
-    chosen_credit = (
+    paid = credits.withColumn("cents", _in_cents("credit_amount"))
+    if cents:
+        return _within_tolerance(first, paid, cents)
+    later = paid.join(first, ["delivery_uuid", "cents"]).filter(F.col("credited_at") >= F.col("charge.at"))
+    return (
         later.filter(~F.col("charge.no_key"))
         .groupBy(F.col("charge.key").alias("charge_transaction_id"))
         .agg(_earliest("credited_at", "credit_transaction_id").alias("credit"))
+        .select(
+            "charge_transaction_id",
+            F.col("credit.key").alias("credit_transaction_id"),
+            F.col("credit.at").alias("credited_at"),
+        )
+    )
+
+
+# ---- first choices within a tolerance ------------------------------------------------------
+
+
+def _within_tolerance(first: DataFrame, paid: DataFrame, cents: int) -> DataFrame:
+    """Mutual first choices among amounts up to ``cents`` apart."""
+    paid = paid.filter(F.col("credited_at").isNotNull() & F.col("cents").isNotNull()).join(
+        first.select("delivery_uuid").distinct(), "delivery_uuid", "left_semi"
+    )
+    chosen = _first_credits(first, paid, cents).filter(~F.col("charge.no_key") & ~F.col("credit.no_key"))
+    # which charge a credit takes is told by its delivery and amount alone
+    taken = _first_charges(first, paid.select("delivery_uuid", "cents").distinct(), cents)
+    back = taken.withColumnRenamed("cents", "credit_cents").withColumnRenamed("charge", "taken")
+    return (
+        chosen.join(back, ["delivery_uuid", "credit_cents"])
+        .filter(F.col("taken.key") == F.col("charge.key"))
+        .select(
+            F.col("charge.key").alias("charge_transaction_id"),
+            F.col("credit.key").alias("credit_transaction_id"),
+            F.col("credit.at").alias("credited_at"),
+        )
+    )
+
+
+def _first_charges(first: DataFrame, amounts: DataFrame, cents: int) -> DataFrame:
+    """``delivery_uuid, cents, charge``: the earliest charge within ``cents`` of each amount.
+
+    The amounts are cut into blocks as wide as a search. A search is then a whole block, or
+    the tail of one and the head of the next, and its minimum that of two running minima. A
+    block holds at most one charge and one search per cent.
+    """
+    width = 2 * cents + 1
+    edge = lambda column: (column - F.pmod(column, F.lit(width))).alias("block")
+    nothing = F.lit(None).cast(first.schema["charge"].dataType).alias("charge")
+    at = F.col("cents")
+    charge_rows = first.select("delivery_uuid", edge(at), at.alias("place"), F.lit(None).cast("bigint").alias("cents"), "charge")
+    found = []
+    for step, from_here in ((-cents, F.col("place").desc()), (cents, F.col("place").asc())):
+        probes = amounts.select("delivery_uuid", edge(at + step), (at + step).alias("place"), "cents", nothing)
+        # rows of one place see each other, whatever their order
+        seen = Window.partitionBy("delivery_uuid", "block").orderBy(from_here).rangeBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        met = charge_rows.unionByName(probes).withColumn("least", F.min("charge").over(seen))
+        found.append(met.filter(F.col("cents").isNotNull()).select("delivery_uuid", "cents", "least"))
+    tails, heads = found
+    best = tails.unionByName(heads).groupBy("delivery_uuid", "cents").agg(F.min("least").alias("charge"))
+    return best.filter(F.col("charge").isNotNull())
+
+
+def _intervals(low: Column, high: Column, levels: int) -> Column:
+    """The aligned intervals, ``level`` and ``node``, that make up the amounts from low to high.
+
+    An interval of level k holds 2^k cents from a multiple of 2^k on; two of a level at most.
+    """
+    parts = []
+    for level in range(levels):
+        begin = F.shiftright(low + ((1 << level) - 1), level)
+        end = F.shiftright(high + 1, level)  # exclusive
+        interval = lambda node, level=level: F.struct(F.lit(level).alias("level"), node.alias("node"))
+        parts.append(F.when((begin < end) & (F.pmod(begin, F.lit(2)) == 1), interval(begin)))
+        parts.append(F.when((begin < end) & (F.pmod(end, F.lit(2)) == 1), interval(end - 1)))
+    return F.array_compact(F.array(*parts))
+
+
+def _first_credits(first: DataFrame, paid: DataFrame, cents: int) -> DataFrame:
+    """``delivery_uuid, charge, credit, credit_cents``: the earliest credit of each charge.
+
+    Each credit is a row in the intervals that its amount lies in, one per level; a charge
+    asks the few intervals that make up its range. In an interval, events in falling order of
+    time carry the earliest credit so far, which is what a charge at that time asks for.
+    """
+    levels = (2 * cents + 1).bit_length()
+    moment = F.struct(
+        F.col("credited_at").alias("at"),
+        F.col("credit_transaction_id").isNull().alias("no_key"),
+        F.col("credit_transaction_id").alias("key"),
+        F.col("cents").alias("credit_cents"),
+    )
+    own = F.array(
+        *[
+            F.struct(F.lit(k).alias("level"), F.shiftright("cents", k).alias("node"))
+            for k in range(levels)
+        ]
     )
-    pairs = chosen_credit.select(
-        "charge_transaction_id",
-        F.col("credit.key").alias("credit_transaction_id"),
-        F.col("credit.at").alias("credited_at"),
+    offers = paid.select(
+        "delivery_uuid", F.explode(own).alias("i"), F.col("credited_at").alias("at"), moment.alias("credit"),
+        F.lit(None).cast(first.schema["charge"].dataType).alias("charge"),
+    )
+    asked = _intervals(F.col("cents") - cents, F.col("cents") + cents, levels)
+    asks = first.select(
+        "delivery_uuid", F.explode(asked).alias("i"), F.col("charge.at").alias("at"),
+        F.lit(None).cast(offers.schema["credit"].dataType).alias("credit"), "charge",
+    )
+    group = ["delivery_uuid", "level", "node"]
+    events = offers.unionByName(asks).select(
+        "delivery_uuid", "i.level", "i.node", _slot("at"), "at", "credit", "charge"
     )
-    if cents == 0:
-        return pairs
-    # Across amounts, a credit can be the first choice of several charges.
-    chosen_charge = (
-        later.groupBy("credit_transaction_id")
-        .agg(F.min("charge").alias("charge"))
-        .select("credit_transaction_id", F.col("charge.key").alias("charge_transaction_id"))
+    # rows of one moment see each other, so a credit at the charge's own time counts
+    onwards = Window.partitionBy(*group, "slot").orderBy(F.col("at").desc()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    return pairs.join(chosen_charge, ["credit_transaction_id", "charge_transaction_id"], "left_semi")
+    near = events.withColumn("near", F.min("credit").over(onwards)).filter(F.col("charge").isNotNull())
+    after = Window.partitionBy(*group).orderBy(F.col("slot").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    slots = events.groupBy(*group, "slot").agg(F.min("credit").alias("earliest"))
+    later = slots.select(*group, "slot", F.min("earliest").over(after).alias("far"))
+    found = near.join(later, [*group, "slot"]).select("delivery_uuid", "charge", F.coalesce("near", "far").alias("credit"))
+    best = found.filter(F.col("credit").isNotNull()).groupBy("delivery_uuid", "charge").agg(F.min("credit").alias("credit"))
+    return best.withColumn("credit_cents", F.col("credit.credit_cents"))
+
+
+# ---- one to one ----------------------------------------------------------------------------
+
+
+def _one_to_one(charges: DataFrame, credits: DataFrame) -> DataFrame:
+    """Every charge that can have a credit of its own has one; who waited longest goes first."""
+    group = ["delivery_uuid", "cents"]
+    asks = charges.select(
+        "delivery_uuid", _in_cents("charge_amount").alias("cents"), F.col("charged_at").alias("at"),
+        F.lit(0).alias("is_credit"), F.col("charge_transaction_id").alias("key"),
+    )
+    offers = credits.select(
+        "delivery_uuid", _in_cents("credit_amount").alias("cents"), F.col("credited_at").alias("at"),
+        F.lit(1).alias("is_credit"), F.col("credit_transaction_id").alias("key"),
+    )
+    whole = F.col("cents").isNotNull() & F.col("at").isNotNull() & F.col("key").isNotNull()
+    events = asks.unionByName(offers).filter(whole).withColumn("slot", _slot("at"))
+
+    # inside a slot; at one moment charges come first, so that a credit can serve them
+    ordered = Window.partitionBy(*group, "slot").orderBy("at", "is_credit", "key")
+    up_to, before = (ordered.rowsBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
+    counted = events.select(
+        "*",
+        F.sum("is_credit").over(up_to).alias("credits"),
+        F.sum(1 - F.col("is_credit")).over(up_to).alias("charges"),
+    ).withColumn("ahead", F.col("credits") - F.col("charges"))
+    counted = counted.withColumn("most_before", F.max("ahead").over(before))
+
+    # what the slots before have left
+    sums = counted.groupBy(*group, "slot").agg(
+        F.max("credits").alias("slot_credits"), F.max("charges").alias("slot_charges"), F.max("ahead").alias("slot_most")
+    )
+    earlier = Window.partitionBy(*group).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda name: F.coalesce(F.sum(name).over(earlier), F.lit(0))
+    begun = sums.select(
+        *group, "slot", "slot_most", total("slot_credits").alias("old_credits"), total("slot_charges").alias("old_charges")
+    ).withColumn("most", F.col("old_credits") - F.col("old_charges") + F.col("slot_most"))
+    begun = begun.select(
+        *group, "slot", "old_credits", "old_charges", F.coalesce(F.max("most").over(earlier), F.lit(0)).alias("old_most")
+    )
+    placed = counted.join(begun, [*group, "slot"])
+    shift = F.col("old_credits") - F.col("old_charges")
+    # credits left over so far: the most by which credits were ever ahead
+    left_before = F.greatest(F.lit(0), "old_most", shift + F.col("most_before"))
+    nth_charge = F.col("old_charges") + F.col("charges")
+    nth_credit = F.col("old_credits") + F.col("credits") - left_before
+    served = (F.col("is_credit") == 1) & (shift + F.col("ahead") <= left_before)
+    paying = placed.filter(served).select(
+        *group, nth_credit.alias("nth"), F.col("key").alias("credit_transaction_id"), F.col("at").alias("credited_at")
+    )
+    waiting = placed.filter("is_credit = 0").select(*group, nth_charge.alias("nth"), F.col("key").alias("charge_transaction_id"))
+    return waiting.join(paying, [*group, "nth"]).select("charge_transaction_id", "credit_transaction_id", "credited_at")
+
+
+# ---- events --------------------------------------------------------------------------------
 
 
 def claim_type(description: Column) -> Column:
@@ -146,14 +318,14 @@ def aging_bucket(is_recovered: Column, lag_days: Column) -> Column:
     return result.otherwise(LATEST_AGING)
 
 
-def recover(entries: DataFrame, *, tolerance: Decimal | float | str = "0.005") -> DataFrame:
+def recover(entries: DataFrame, *, tolerance: Decimal | float | str = "0.005", mode: str = MUTUAL) -> DataFrame:
     """One row per error charge: recovered or not, how late, and what leaked.
 
     ``entries`` holds charges and credits together, as staged. A charge with no match is
     leakage in full.
     """
     charges = error_charges(entries)
-    pairs = match_pairs(charges, adjustment_credits(entries), tolerance=tolerance)
+    pairs = match_pairs(charges, adjustment_credits(entries), tolerance=tolerance, mode=mode)
     recovered = F.col("credit_transaction_id").isNotNull()
     return charges.join(pairs, "charge_transaction_id", "left").select(
         *charges.columns,

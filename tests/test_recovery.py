@@ -54,7 +54,7 @@ def by_listing(rows, tolerance):
     return {(c[0], a[0]) for c, a in candidates if first_credit[c[0]][1] == a[0] and first_charge[a[0]][1] == c[0]}
 
 
-@pytest.mark.parametrize("tolerance", ["0.005", "0.01", "0.02", "1.005"])
+@pytest.mark.parametrize("tolerance", ["0.005", "0.01", "0.02", "0.05", "0.33", "1.005"])
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_ranking_all_pairs(spark, tolerance, seed):
     rng = random.Random(seed)
@@ -184,3 +184,112 @@ def test_busy_delivery_is_split(spark, tmp_path):
 def test_no_tolerance_is_refused(tolerance):
     with pytest.raises(ValueError, match="tolerance"):
         recovery._cents_within(tolerance)
+
+
+# ---- many within a tolerance ----------------------------------------------------------------
+
+
+def busy(n, amounts):
+    """One delivery with n charges and n credits in one bucket of amounts."""
+    rng = random.Random(1)
+    rows = [charge(f"c{i}", Decimal(rng.choice(amounts)) / 100, rng.randint(0, 5000) / 10) for i in range(n)]
+    return rows + [credit(f"a{i}", Decimal(rng.choice(amounts)) / 100, rng.randint(0, 5000) / 10) for i in range(n)]
+
+
+def test_a_busy_bucket_takes_no_pair_per_charge_and_credit(spark):
+    """All 10,000 charges and credits lie within the tolerance: rows made grow with their number."""
+    frame = entries(spark, busy(10_000, range(0, 1000)))
+    charges, credits = recovery.error_charges(frame), recovery.adjustment_credits(frame)
+    found = recovery.match_pairs(charges, credits, tolerance="10.005")
+    assert found.count() >= 1
+    metrics = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in metrics and "BroadcastNestedLoopJoin" not in metrics
+
+
+def test_a_busy_bucket_equals_ranking_all_pairs(spark):
+    rows = busy(400, range(0, 150))
+    for tolerance in ("0.10", "0.755", "2.00"):
+        assert pairs(spark, rows, tolerance=tolerance) == by_listing(rows, tolerance)
+
+
+def test_intervals_make_up_a_range_with_two_per_level(spark):
+    ranges = [(a, a + 2 * w) for a in range(-9, 9) for w in (1, 2, 5, 12)]
+    frame = spark.createDataFrame(ranges, "low long, high long")
+    for levels in {(high - low + 1).bit_length() for low, high in ranges}:
+        mine = frame.where((F.col("high") - F.col("low") + 1 >= 1 << (levels - 1)) & (F.col("high") - F.col("low") + 1 < 1 << levels))
+        for low, high, found in mine.select("low", "high", recovery._intervals(F.col("low"), F.col("high"), levels)).collect():
+            held = [c for i in found for c in range(i.node << i.level, (i.node + 1) << i.level)]
+            assert sorted(held) == list(range(low, high + 1))
+            assert all(sum(i.level == level for i in found) <= 2 for level in range(levels))
+
+
+# ---- one to one -------------------------------------------------------------------------------
+
+
+def most_pairs(rows):
+    """The size of a largest matching, by augmenting paths over all fitting pairs."""
+    charges = [r for r in rows if r[3] == "Error Charge"]
+    credits = [r for r in rows if r[3] == "Adjustment"]
+    whole = lambda *values: None not in values
+    fits = {
+        c[0]: [a[0] for a in credits if whole(c[2], c[6], a[6]) and a[2] == c[2] and a[6] >= c[6] and a[9] == abs(c[8])]
+        for c in charges
+    }
+    taken = {}
+
+    def place(c, seen):
+        for a in fits[c]:
+            if a not in seen:
+                seen.add(a)
+                if a not in taken or place(taken[a], seen):
+                    taken[a] = c
+                    return True
+        return False
+
+    return sum(place(c, set()) for c in fits)
+
+
+def queued(rows):
+    """Each credit serves the charge that has waited longest."""
+    found, waiting = set(), {}
+    known = [r for r in rows if None not in (r[2], r[6])]
+    for r in sorted(known, key=lambda r: (r[6], r[3] == "Adjustment", r[0])):
+        group = waiting.setdefault((r[2], abs(r[8] if r[3] == "Error Charge" else r[9])), [])
+        if r[3] == "Error Charge":
+            group.append(r[0])
+        elif group:
+            found.add((group.pop(0), r[0]))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_to_one_is_a_largest_matching(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for n in range(500):
+        make, amount = rng.choice([charge, credit]), Decimal(rng.randint(1, 4))
+        days = None if rng.random() < 0.03 else rng.randint(0, 60) / 48  # hours and halves, many ties
+        delivery = "hot" if rng.random() < 0.4 else rng.choice(["a", "b", "c", None])
+        rows.append(make(f"t{n}", amount, days, delivery))
+    found = pairs(spark, rows, mode="one_to_one")
+    assert found == queued(rows)
+    assert len(found) == len({c for c, _ in found}) == len({a for _, a in found}) == most_pairs(rows)
+    assert len(found) > len(pairs(spark, rows))
+
+
+def test_one_to_one_uses_the_second_credit(spark):
+    rows = [charge("A", 5), charge("B", 5, 1), credit("c1", 5, 2), credit("c2", 5, 3)]
+    assert pairs(spark, rows, mode="one_to_one") == {("A", "c1"), ("B", "c2")}
+
+
+def test_one_to_one_ties_go_by_id(spark):
+    rows = [charge("10", 5), charge("9", 5), credit("x9", 5), credit("x10", 5)]
+    assert pairs(spark, rows, mode="one_to_one") == {("10", "x10"), ("9", "x9")}
+
+
+def test_one_to_one_needs_equal_amounts(spark):
+    with pytest.raises(ValueError, match="equal amounts"):
+        pairs(spark, [charge("A", 5)], mode="one_to_one", tolerance="0.02")
+    with pytest.raises(ValueError, match="mode is"):
+        pairs(spark, [charge("A", 5)], mode="many")
+    assert pairs(spark, [charge("A", 5)], mode="one_to_one") == set()

@@ -65,10 +65,10 @@ def recovered(t: Tables) -> DataFrame:
     return recovery.recover(error_charges(t))
 
 
-def recovery_pairs(t: Tables, tolerance: str = "0.005") -> DataFrame:
+def recovery_pairs(t: Tables, tolerance: str = "0.005", mode: str = recovery.MUTUAL) -> DataFrame:
     entries = error_charges(t)
     return recovery.match_pairs(
-        recovery.error_charges(entries), recovery.adjustment_credits(entries), tolerance=tolerance
+        recovery.error_charges(entries), recovery.adjustment_credits(entries), tolerance=tolerance, mode=mode
     )
 
 
@@ -309,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "order_netting": netted,
     "recovery_pairs": recovery_pairs,
     "recovery_pairs_wide_tolerance": lambda t: recovery_pairs(t, "5.005"),
+    "recovery_pairs_one_to_one": lambda t: recovery_pairs(t, mode=recovery.ONE_TO_ONE),
     "recovery_match": recovered,
     "claim_taxonomy": claim_taxonomy,
     "recovery_aging": lambda t: reports.recovery_speed(fct_error_events(t)),
