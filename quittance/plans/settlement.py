@@ -7,6 +7,7 @@ need from those tables. ``publish`` makes a build visible only if its controls p
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 from datetime import datetime
@@ -19,7 +20,8 @@ from quittance.operators import anonymise as anon
 from quittance.operators import checks, dimensions, facts, netting, reconcile, recovery
 from quittance.operators.staging import stage
 from quittance.plans.lineage import cut
-from quittance.sources.exports import list_exports, path_exists, read_export, write_export
+from quittance.sources.commits import CommitLog
+from quittance.sources.exports import list_exports, path_exists, read_export, remove, write_export
 from quittance.sources.loading import OK, LoadResult, RawStore, Run, freshness
 from quittance.sources.specs import EXPORTS, LOAD_LOG
 
@@ -106,7 +108,8 @@ class Warehouse:
         stand in for an export that is missing today.
 
         The mapping lives in ``private``, outside anything published. Ids already mapped
-        keep their surrogates; new ones are appended.
+        keep their surrogates; new ones are appended. Of two runs that number at the same
+        time, one numbers again after the other.
         """
         frames = {
             name: read_export(self.spark, paths, multi_line=name in self.multi_line)
@@ -114,15 +117,8 @@ class Warehouse:
         }
         if not frames:
             raise FileNotFoundError(f"no CSVs found in {folder}")
-        where = f"{private.rstrip('/')}/surrogate_mapping"
-        known = path_exists(self.spark, where)
-        stored = self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(where) if known else None
         identities = cut(anon.collect_identities(frames.values()))
-        anon.number_ids(anon.ids_of(identities), stored).write.mode("append").parquet(where)
-        # read back: its size is known now, which decides how it is joined
-        mapping = self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(where)
-        if not mapping.groupBy("kind", "value").count().where("count > 1").isEmpty():
-            raise ValueError(f"{where} numbers an id twice; two runs overlapped")
+        mapping = self._number(anon.ids_of(identities), f"{private.rstrip('/')}/surrogate_mapping")
         names = anon.names_of(identities)
         written = {}
         for name, frame in frames.items():
@@ -132,6 +128,46 @@ class Warehouse:
             written[name] = (rows.get["rows"], anon.scrubbed_columns(frame))
         return written
 
+    def _mapping(self, where: str) -> tuple[int, list[str], DataFrame | None]:
+        """The mapping as of its newest commit: the commit's number and folders, and the rows."""
+        number, parts = CommitLog(self.spark, f"{where}/_commits").state()
+        if not number and path_exists(self.spark, where):
+            parts = ["*.parquet"]  # a mapping from before there were commits
+        paths = [f"{where}/{part}" for part in parts]
+        return number, parts, self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(*paths) if paths else None
+
+    def _number(self, ids: DataFrame, where: str) -> DataFrame:
+        """The mapping at ``where`` with these distinct ids in it."""
+        while True:
+            number, parts, stored = self._mapping(where)
+            part = uuid.uuid4().hex
+            anon.number_ids(ids, stored).write.parquet(f"{where}/{part}")
+            if CommitLog(self.spark, f"{where}/_commits").commit(number + 1, [*parts, part]):
+                # read back: its size is known now, which decides how it is joined
+                mapping = self._mapping(where)[2]
+                if not mapping.groupBy("kind", "value").count().where("count > 1").isEmpty():
+                    raise ValueError(f"{where} numbers an id twice; see repair_mapping")
+                return mapping
+            remove(self.spark, f"{where}/{part}")
+
+    def repair_mapping(self, private: str) -> int:
+        """Leave each id its lowest surrogate, where runs without commits have numbered one twice.
+
+        Returns how many numberings went. Exports anonymised under a dropped surrogate
+        have to be anonymised again.
+        """
+        where = f"{private.rstrip('/')}/surrogate_mapping"
+        while True:
+            number, _, stored = self._mapping(where)
+            if stored is None:
+                return 0
+            kept = stored.groupBy("kind", "value").agg(F.min("surrogate").alias("surrogate"))
+            part = uuid.uuid4().hex
+            kept.write.parquet(f"{where}/{part}")
+            if CommitLog(self.spark, f"{where}/_commits").commit(number + 1, [part]):
+                return stored.count() - self.spark.read.parquet(f"{where}/{part}").count()
+            remove(self.spark, f"{where}/{part}")
+
     # ---- loading ----
 
     def load(self, folder: str, run: Run | None = None) -> list[LoadResult]:

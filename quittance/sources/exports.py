@@ -52,25 +52,26 @@ def dataset_name(file_name: str) -> str:
     return re.sub(specs.DATE_RANGE, "", re.sub(specs.UPLOAD_HASH, "", stem)).lower()
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as that system's."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     return system.exists(where)
 
 
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes stored at a path."""
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     return system.getContentSummary(where).getLength()
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete intermediate data at a path, if there is any."""
-    system, where = _file_system(spark, path)
+    system, where = file_system(spark, path)
     system.delete(where, True)
 
 
@@ -79,7 +80,7 @@ def list_exports(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
     A data set may be spread over several files, which are read together.
     """
-    system, where = _file_system(spark, folder)
+    system, where = file_system(spark, folder)
     names = sorted(s.getPath().getName() for s in system.listStatus(where))
     found: dict[str, list[str]] = {}
     for name in names:
@@ -90,6 +91,6 @@ def list_exports(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
 def committed_folders(spark: SparkSession, parent: str) -> list[str]:
     """Names of the folders below ``parent`` whose write was completed."""
-    system, pattern = _file_system(spark, f"{parent.rstrip('/')}/*/_SUCCESS")
+    system, pattern = file_system(spark, f"{parent.rstrip('/')}/*/_SUCCESS")
     found = system.globStatus(pattern) or []
     return sorted(s.getPath().getParent().getName() for s in found)

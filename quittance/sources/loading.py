@@ -4,20 +4,28 @@ A raw table is a folder with one Parquet folder per run. Each row carries a hash
 content; a load adds the rows whose hash the table does not hold yet. Loading the same
 export again adds nothing, and loading a grown export adds what is new. Rows that occur
 twice *within* one export are all kept.
+
+Which runs make up a table is told by numbered commits. Two runs that load at the same time
+both find the other's rows missing; only one of them commits first, and the other then looks
+again at what is still new. Known hashes are looked up in an index that follows the commits.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Collection, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quittance.functions import or_empty
-from quittance.sources.exports import committed_folders, path_exists, read_export, remove
+from quittance.sources.commits import CommitLog
+from quittance.sources.exports import committed_folders, list_exports, path_exists, read_export, remove
+from quittance.sources.hash_index import BUCKETS, HASH, HashIndex
 from quittance.sources.specs import (
     EXPORTS,
     LOAD_LOG,
@@ -110,8 +118,8 @@ def new_hashes(incoming: DataFrame, target: DataFrame) -> DataFrame:
     Reads and shuffles hashes only. Each side is reduced to distinct ones before the
     shuffle, so a row with many copies is one hash per task.
     """
-    known = target.select(_packed().alias("_packed_hash")).distinct()
-    return incoming.select(_packed().alias("_packed_hash")).distinct().join(known, "_packed_hash", "left_anti")
+    known = target.select(_packed().alias(HASH)).distinct()
+    return incoming.select(_packed().alias(HASH)).distinct().join(known, HASH, "left_anti")
 
 
 def mark_new(incoming: DataFrame, fresh: DataFrame | None) -> DataFrame:
@@ -122,8 +130,8 @@ def mark_new(incoming: DataFrame, fresh: DataFrame | None) -> DataFrame:
     """
     if fresh is None:
         return incoming.withColumn("_is_new", F.lit(True))
-    return incoming.join(fresh, _packed() == F.col("_packed_hash"), "left").select(
-        *[quoted(c) for c in incoming.columns], F.col("_packed_hash").isNotNull().alias("_is_new")
+    return incoming.join(fresh, _packed() == F.col(HASH), "left").select(
+        *[quoted(c) for c in incoming.columns], F.col(HASH).isNotNull().alias("_is_new")
     )
 
 
@@ -165,28 +173,57 @@ def freshness(
 # ---- raw tables --------------------------------------------------------------------------
 
 
+#: Exports loaded at a time.
+AT_ONCE = 8
+
+
 class RawStore:
-    """The raw tables and the load log below one folder."""
+    """The raw tables and the load log below one folder.
+
+    ``index_buckets`` is fixed for a table's life: see ``hash_index``.
+    """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, index_buckets: int = BUCKETS) -> None:
+        self.spark, self.root, self.index_buckets = spark, root.rstrip("/"), index_buckets
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table.lstrip('_')}"  # a leading underscore hides a folder
 
+    def commits(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.path(table)}/_commits")
+
+    def index(self, table: str) -> HashIndex:
+        return HashIndex(self.spark, f"{self.root}/index/{table.lstrip('_')}", self.index_buckets)
+
+    def _state(self, table: str) -> tuple[int, list[str]]:
+        """The newest commit's number and its runs. A table from before there were commits has what was
+        completely written."""
+        written = committed_folders(self.spark, self.path(table))
+        number, runs = self.commits(table).state()
+        return number, [r for r in runs if r in set(written)] if number else written
+
+    def _begun(self, table: str) -> tuple[int, list[str]]:
+        """The same of a table that has commits: the first one names what was there before."""
+        while True:
+            number, runs = self._state(table)
+            if number or self.commits(table).commit(1, runs):
+                return max(number, 1), runs
+
     def runs(self, table: str) -> list[str]:
-        """Runs whose rows are completely written."""
-        return committed_folders(self.spark, self.path(table))
+        """Committed runs whose rows are completely written."""
+        return self._state(table)[1]
 
     def exists(self, table: str) -> bool:
         return bool(self.runs(table))
 
     def read(self, table: str, *, without: str | None = None) -> DataFrame:
         """A raw table, optionally without the rows of one run."""
-        paths = [f"{self.path(table)}/{run}" for run in self.runs(table) if run != without]
-        if not paths:
+        return self._read_runs(table, [run for run in self.runs(table) if run != without])
+
+    def _read_runs(self, table: str, runs: Sequence[str]) -> DataFrame:
+        if not runs:
             raise LookupError(f"{table} holds no completed run")
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.parquet(*[f"{self.path(table)}/{run}" for run in runs])
 
     def log(self) -> DataFrame:
         return self.spark.read.schema(LOAD_LOG_SCHEMA).parquet(self.path(LOAD_LOG))
@@ -195,32 +232,52 @@ class RawStore:
         """Load one export; returns rows in the file and rows inserted.
 
         Counted while writing, after the join, so in the job's last stage: its tasks
-        report once each, even when executors are lost and tasks run again. Where there are
-        earlier rows, the hashed export is stored for the time of the load: the file is
-        parsed once, and looking for new hashes reads one column of it.
+        report once each, even when executors are lost and tasks run again. The hashed
+        export is stored for the time of the load: the file is parsed once, looking for new
+        hashes reads one column of it, and a run that lost a commit to another looks again.
         """
-        earlier = [r for r in self.runs(table) if r != run.run_id]
-        target = self.read(table, without=run.run_id) if earlier else None
-        order = None
-        if target is not None:
-            order = source_columns(target.columns)
-            arrived = source_columns(export.columns)
-            if set(order) != set(arrived):
-                raise SchemaChanged(
-                    f"{file_name}: columns missing {sorted(set(order) - set(arrived))}, "
-                    f"new {sorted(set(arrived) - set(order))}"
-                )
-        incoming = with_load_columns(export, file_name, run, order)
-        if target is None:
-            return self._write(mark_new(incoming, None), table, run)
         arriving = f"{self.root}/arriving/{table}/{run.run_id}"
+        incoming = None
         try:
-            incoming = self._keep(incoming, f"{arriving}/rows")
-            fresh = self._keep(new_hashes(incoming, target), f"{arriving}/new_hashes")
-            return self._write(mark_new(incoming, fresh), table, run)
+            while True:
+                number, runs = self._begun(table)
+                earlier = [r for r in runs if r != run.run_id]
+                if incoming is None:
+                    order = self._order(export, file_name, table, earlier)
+                    incoming = self._keep(with_load_columns(export, file_name, run, order), f"{arriving}/rows")
+                fresh = self._fresh(incoming, table, earlier, f"{arriving}/new_hashes")
+                counts = self._write(mark_new(incoming, fresh), table, run)
+                if self.commits(table).commit(number + 1, [*earlier, run.run_id]):
+                    self._enter(table, run.run_id)
+                    return counts
         finally:
             remove(self.spark, arriving)
 
+    def _order(self, export: DataFrame, file_name: str, table: str, earlier: Sequence[str]) -> list[str] | None:
+        if not earlier:
+            return None
+        order, arrived = source_columns(self._read_runs(table, earlier).columns), source_columns(export.columns)
+        if set(order) != set(arrived):
+            raise SchemaChanged(
+                f"{file_name}: columns missing {sorted(set(order) - set(arrived))}, "
+                f"new {sorted(set(arrived) - set(order))}"
+            )
+        return order
+
+    def _hashes(self, table: str, run_id: str) -> DataFrame:
+        return self._read_runs(table, [run_id]).select(_packed().alias(HASH))
+
+    def _enter(self, table: str, run_id: str) -> None:
+        self.index(table).add(run_id, self._hashes(table, run_id).distinct())
+
+    def _fresh(self, incoming: DataFrame, table: str, earlier: Sequence[str], path: str) -> DataFrame | None:
+        """The incoming hashes that no earlier run has; None if there is no earlier run."""
+        if not earlier:
+            return None
+        index = self.index(table)
+        index.catch_up(earlier, lambda run_id: self._hashes(table, run_id))
+        return self._keep(index.unknown(incoming.select(_packed().alias(HASH)), earlier), path)
+
     def _keep(self, frame: DataFrame, path: str) -> DataFrame:
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
@@ -254,13 +311,16 @@ class RawStore:
         frame = self.spark.createDataFrame(rows, LOAD_LOG_SCHEMA)
         frame.coalesce(1).write.mode("append").parquet(self.path(LOAD_LOG))
 
-    def load_one(self, path: str, export: Export, run: Run, *, multi_line: bool = False) -> LoadResult:
-        """Load one export; a missing or unreadable one is a result, not an exception."""
+    def load_one(
+        self, path: str | Sequence[str], export: Export, run: Run, *, multi_line: bool = False
+    ) -> LoadResult:
+        """Load one export, of one file or several; a missing or unreadable one is a result, not an exception."""
         name, table = export.file_name, export.table
-        if not path_exists(self.spark, path):
+        paths = [path] if isinstance(path, str) else list(path)
+        if not paths or not all(path_exists(self.spark, p) for p in paths):
             return LoadResult(name, table, 0, 0, MISSING, "source file not found")
         try:
-            frame = read_export(self.spark, path, multi_line=multi_line)
+            frame = read_export(self.spark, paths, multi_line=multi_line)
             rows, new = self.append(frame, name, table, run)
             return LoadResult(name, table, rows, new, OK)
         except Exception as problem:  # the log is where it belongs
@@ -273,16 +333,27 @@ class RawStore:
         *,
         exports: Sequence[Export] = EXPORTS,
         multi_line: Collection[str] = (),
+        at_once: int = AT_ONCE,
     ) -> list[LoadResult]:
         """Load every registered export of a folder and log the outcome of each.
 
-        ``multi_line`` names the data sets whose fields may hold line breaks; each of their
-        files is read by one task.
+        A data set may come as several files, and under names with an upload hash or a date
+        range; they are read together. ``multi_line`` names the data sets whose fields may
+        hold line breaks; each of their files is read by one task.
+
+        Exports load ``at_once``, each under a scheduler pool of its own name, so that with
+        fair scheduling a short one needn't wait for a long one's tasks.
         """
         run = run or Run.now()
-        results = [
-            self.load_one(f"{folder.rstrip('/')}/{e.file_name}", e, run, multi_line=e.stem in multi_line)
-            for e in exports
-        ]
+        found = list_exports(self.spark, folder) if path_exists(self.spark, folder) else {}
+
+        def load(export: Export) -> LoadResult:
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", export.stem)
+            return self.load_one(found.get(export.stem, []), export, run, multi_line=export.stem in multi_line)
+
+        with ThreadPoolExecutor(max_workers=at_once) as threads:
+            # each has a copy of this thread's local properties, to which it adds its pool
+            started = [threads.submit(inheritable_thread_target(self.spark)(load), export) for export in exports]
+            results = [s.result() for s in started]
         self.write_log(results, run)
         return results
