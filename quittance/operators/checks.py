@@ -2,6 +2,10 @@
 
 Row-level rules filter. Rules on values group first, so that a value held by a large
 share of the rows is one row before anything is joined or shuffled further.
+
+``gate`` decides all of them together. The row-level rules of a mart are counts that can be
+observed while it is written, so that they need no read of it, and all its rules on values
+take one grouped pass: rows of field and value, combined on the map side.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quittance.operators.reconcile import REASONS, UNEXPLAINED
@@ -18,6 +22,9 @@ from quittance.operators.recovery import AGING_DAYS, CLAIM_TYPES, LATEST_AGING,
 
 ERROR, WARN = "error", "warn"
 
+#: Days after which an order without a payout is late.
+LAG_DAYS = 21
+
 
 @dataclass(frozen=True)
 class Check:
@@ -65,23 +72,34 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) ->
 # ---- business rules -----------------------------------------------------------------------
 
 
+def _off_total(tolerance: str = "0.005") -> Column:
+    return F.abs("net_total_variance") > F.lit(tolerance).cast("decimal(18,6)")
+
+
+def _wrong_sign() -> Column:
+    return (F.col("error_charges") > 0) | (F.col("adjustments") < 0)
+
+
+def _unexplained() -> Column:
+    return F.col("break_reason") == UNEXPLAINED
+
+
 def payout_net_total(payouts_fact: DataFrame, *, tolerance: str = "0.005") -> DataFrame:
     """Payouts whose components do not add up to their net total."""
-    limit = F.lit(tolerance).cast("decimal(18,6)")
-    return payouts_fact.filter(F.abs("net_total_variance") > limit).select(
+    return payouts_fact.filter(_off_total(tolerance)).select(
         "payout_key", "payout_id", "date_key", "channel_key", "net_total", "net_total_variance"
     )
 
 
 def unexplained_breaks(reconciled: DataFrame) -> DataFrame:
-    return reconciled.filter(F.col("break_reason") == UNEXPLAINED).select(
+    return reconciled.filter(_unexplained()).select(
         "payout_date", "channel", "delta_subtotal", "delta_commission", "break_reason"
     )
 
 
 def sign_convention(transactions_fact: DataFrame) -> DataFrame:
     """Charges are never positive, adjustments never negative."""
-    return transactions_fact.filter((F.col("error_charges") > 0) | (F.col("adjustments") < 0)).select(
+    return transactions_fact.filter(_wrong_sign()).select(
         "transaction_key", "transaction_type", "error_charges", "adjustments"
     )
 
@@ -102,7 +120,7 @@ def latest_load_failures(log: DataFrame) -> DataFrame:
     return log.filter((F.col("run_id") == newest) & (F.col("status") != "OK"))
 
 
-def settles_within_lag(orders_fact: DataFrame, *, lag_days: int = 21) -> DataFrame:
+def settles_within_lag(orders_fact: DataFrame, *, lag_days: int = LAG_DAYS) -> DataFrame:
     """Orders without a payout although the window's end is long past them."""
     window_end = orders_fact.select(F.max("date_key")).scalar()
     return orders_fact.filter(
@@ -112,6 +130,12 @@ def settles_within_lag(orders_fact: DataFrame, *, lag_days: int = 21) -> DataFra
 
 # ---- the whole set ----------------------------------------------------------------------------
 
+PAYOUT_TOTAL, UNEXPLAINED_BREAK, SIGNS = "payout net total", "no unexplained break", "sign convention"
+CREDIT_ONCE, SETTLES, LOAD_CLEAN = "credit used once", "orders settle within lag", "last load clean"
+WARNINGS = (SETTLES,)
+RECONCILED = "int_settlement_reconciliation"
+_COUNT = "bigint"
+
 KEYS = {
     "fct_transactions": "transaction_key",
     "fct_orders": "order_key",
@@ -175,17 +199,123 @@ def all_checks(
         for (t, c), (parent, key) in REFERENCES.items()
     ]
     checks += [
-        Check("payout net total", payout_net_total(marts["fct_payouts"])),
-        Check("no unexplained break", unexplained_breaks(reconciled)),
-        Check("sign convention", sign_convention(marts["fct_transactions"])),
-        Check("credit used once", credit_used_once(marts["fct_error_events"])),
-        Check("orders settle within lag", settles_within_lag(marts["fct_orders"]), severity=WARN),
+        Check(PAYOUT_TOTAL, payout_net_total(marts["fct_payouts"])),
+        Check(UNEXPLAINED_BREAK, unexplained_breaks(reconciled)),
+        Check(SIGNS, sign_convention(marts["fct_transactions"])),
+        Check(CREDIT_ONCE, credit_used_once(marts["fct_error_events"])),
+        Check(SETTLES, settles_within_lag(marts["fct_orders"]), severity=WARN),
     ]
     if load_log is not None:
-        checks.append(Check("last load clean", latest_load_failures(load_log)))
+        checks.append(Check(LOAD_CLEAN, latest_load_failures(load_log)))
     return checks
 
 
+# ---- all rules of a mart together ---------------------------------------------------------------
+
+
+
+def row_rules(table: str) -> dict[str, Column]:
+    """What is true of a row of a mart that violates a rule, by the rule's name."""
+    rules = {f"not_null {table}.{c}": F.col(c).isNull() for c in REQUIRED.get(table, ())}
+    business = {
+        "fct_payouts": (PAYOUT_TOTAL, _off_total),
+        "fct_transactions": (SIGNS, _wrong_sign),
+        RECONCILED: (UNEXPLAINED_BREAK, _unexplained),
+    }
+    if table in business:
+        name, condition = business[table]
+        rules[name] = condition()
+    return rules
+
+
+def row_counts(table: str) -> list[Column]:
+    """The violations of each row-level rule of a mart, as aggregates named like the rules."""
+    return [F.count_if(condition).alias(name) for name, condition in row_rules(table).items()]
+
+
+def _listed(found: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row of counts as rows of ``check, violations``."""
+    pairs = [F.struct(F.lit(n).alias("check"), F.col(f"`{n}`").cast(_COUNT).alias("violations")) for n in names]
+    return found.select(F.inline(F.array(*pairs)))
+
+
+def value_outcomes(table: str, marts: Mapping[str, DataFrame]) -> DataFrame | None:
+    """``check, violations`` of all rules on values of a mart, from one pass over it."""
+    accepted = {c: values for (t, c), values in ACCEPTED.items() if t == table}
+    references = {c: parent for (t, c), parent in REFERENCES.items() if t == table}
+    once = {KEYS[table]: f"unique {table}.{KEYS[table]}"} if table in KEYS else {}
+    if table == "fct_error_events":
+        once["credit_transaction_id"] = CREDIT_ONCE
+    # field: what its value is
+    fields = {c: F.col(c).cast("string") for c in dict.fromkeys([*once, *accepted, *references])}
+    if table == "fct_orders":
+        fields |= {"date_key": F.col("date_key").cast("string")}
+        fields["unsettled"] = F.when(F.col("payout_date_key").isNull(), F.col("date_key").cast("string"))
+    if not fields:
+        return None
+    pairs = [F.struct(F.lit(name).alias("field"), value.alias("value")) for name, value in fields.items()]
+    counted = (
+        marts[table]
+        .select(F.inline(F.array(*pairs)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("field", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    if references:
+        known = [
+            marts[parent].select(F.lit(c).alias("field"), F.col(key).cast("string").alias("value")).distinct()
+            for c, (parent, key) in references.items()
+        ]
+        known = reduce(DataFrame.union, known).withColumn("is_known", F.lit(True))
+        counted = counted.join(known, ["field", "value"], "left")
+    field, value, n = F.col("field"), F.col("value"), F.col("n")
+    found = {name: F.count_if((field == c) & (n > 1)) for c, name in once.items()}
+    for c, values in accepted.items():
+        found[f"accepted_values {table}.{c}"] = F.count_if((field == c) & ~value.isin(*values))
+    for c in references:
+        lost = F.when((field == c) & F.col("is_known").isNull(), n)
+        found[f"relationships {table}.{c}"] = F.coalesce(F.sum(lost), F.lit(0))
+    if table == "fct_orders":
+        # a row per day, so as many as the data has days
+        days = F.collect_list(F.when(field == "unsettled", F.struct(value.cast("date").alias("day"), "n")))
+        newest = F.max(F.when(field == "date_key", value.cast("date")))
+        late = F.filter(days, lambda d: d["day"] < F.date_sub(newest, LAG_DAYS))
+        found[SETTLES] = F.aggregate(late, F.lit(0).cast(_COUNT), lambda total, d: total + d["n"])
+    return _listed(counted.agg(*[count.alias(name) for name, count in found.items()]), list(found))
+
+
+def gate(
+    marts: Mapping[str, DataFrame],
+    reconciled: DataFrame,
+    load_log: DataFrame | None = None,
+    observed: DataFrame | None = None,
+) -> DataFrame:
+    """``check, severity, violations, status`` of all rules.
+
+    ``observed`` holds ``check, violations`` counted while the marts were written; the marts
+    are then read once, for their rules on values. Without it each is read once more.
+    """
+    tables = {**marts, RECONCILED: reconciled}
+    parts = []
+    if observed is not None:
+        parts.append(observed.select("check", F.col("violations").cast(_COUNT).alias("violations")))
+    else:
+        for table, frame in tables.items():
+            if rules := row_rules(table):
+                parts.append(_listed(frame.agg(*row_counts(table)), list(rules)))
+    parts += [found for table in marts if (found := value_outcomes(table, marts)) is not None]
+    if load_log is not None:
+        failures = latest_load_failures(load_log).agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(failures.select(F.lit(LOAD_CLEAN).alias("check"), "violations"))
+    severity = F.when(F.col("check").isin(*WARNINGS), WARN).otherwise(ERROR)
+    return _with_status(reduce(DataFrame.union, parts).select("check", severity.alias("severity"), "violations"))
+
+
+def _with_status(outcomes: DataFrame) -> DataFrame:
+    failed = F.when(F.col("severity") == WARN, "warn").otherwise("fail")
+    return outcomes.withColumn("status", F.when(F.col("violations") == 0, "pass").otherwise(failed))
+
+
 def run_checks(checks: Iterable[Check]) -> DataFrame:
     """``check, severity, violations, status``: one row per check, one job for all."""
 
@@ -195,10 +325,7 @@ def run_checks(checks: Iterable[Check]) -> DataFrame:
             F.lit(check.name).alias("check"), F.lit(check.severity).alias("severity"), "violations"
         )
 
-    failed = F.when(F.col("severity") == WARN, "warn").otherwise("fail")
-    return reduce(DataFrame.union, [outcome(c) for c in checks]).withColumn(
-        "status", F.when(F.col("violations") == 0, "pass").otherwise(failed)
-    )
+    return _with_status(reduce(DataFrame.union, [outcome(c) for c in checks]))
 
 
 def may_publish(outcomes: DataFrame) -> bool:

@@ -118,7 +118,7 @@ class Warehouse:
         if not frames:
             raise FileNotFoundError(f"no CSVs found in {folder}")
         identities = cut(anon.collect_identities(frames.values()))
-        mapping = self._number(anon.ids_of(identities), f"{private.rstrip('/')}/surrogate_mapping")
+        mapping = self.number(anon.ids_of(identities), f"{private.rstrip('/')}/surrogate_mapping")
         names = anon.names_of(identities)
         written = {}
         for name, frame in frames.items():
@@ -136,7 +136,7 @@ class Warehouse:
         paths = [f"{where}/{part}" for part in parts]
         return number, parts, self.spark.read.schema(anon.MAPPING_SCHEMA).parquet(*paths) if paths else None
 
-    def _number(self, ids: DataFrame, where: str) -> DataFrame:
+    def number(self, ids: DataFrame, where: str) -> DataFrame:
         """The mapping at ``where`` with these distinct ids in it."""
         while True:
             number, parts, stored = self._mapping(where)
@@ -191,23 +191,33 @@ class Warehouse:
     def build(self, run_id: str) -> dict[str, DataFrame]:
         """Write the marts and the shared models of one run; the rest stay views.
 
-        A run writes to its own folder, so a repeated build replaces only itself.
+        A run writes to its own folder, so a repeated build replaces only itself. The
+        row-level controls of a table are counted while it is written.
         """
+        counted: list[tuple[str, int]] = []
 
         def keep(name: str, frame: DataFrame) -> DataFrame:
             if name not in SHARED and name not in MARTS:
                 return frame
-            where = self.path("builds", run_id, name)
-            frame.write.mode("overwrite").parquet(where)
+            where, rules = self.path("builds", run_id, name), checks.row_counts(name)
+            if rules:
+                seen = Observation(f"{name}-{run_id}")
+                frame.observe(seen, *rules).write.mode("overwrite").parquet(where)
+                counted.extend(seen.get.items())
+            else:
+                frame.write.mode("overwrite").parquet(where)
             return self.spark.read.schema(frame.schema).parquet(where)
 
-        return models(stage_all(self.raw.read), keep)
+        built = models(stage_all(self.raw.read), keep)
+        rows = self.spark.createDataFrame(counted, "check string, violations bigint")
+        rows.coalesce(1).write.mode("overwrite").parquet(self.path("builds", run_id, "row_counts"))
+        return built
 
-    def check(self, built: Mapping[str, DataFrame]) -> DataFrame:
+    def check(self, built: Mapping[str, DataFrame], run_id: str | None = None) -> DataFrame:
+        """The outcome of every control; with ``run_id``, row-level ones as that build has counted them."""
         marts = {name: built[name] for name in MARTS}
-        return checks.run_checks(
-            checks.all_checks(marts, built["int_settlement_reconciliation"], self.raw.log())
-        )
+        observed = self.spark.read.parquet(self.path("builds", run_id, "row_counts")) if run_id else None
+        return checks.gate(marts, built["int_settlement_reconciliation"], self.raw.log(), observed)
 
     # ---- publishing ----
 
@@ -285,6 +295,6 @@ def run(
     built = house.build(this_run.run_id)
     # stored, so that the gate and the reader of the result see the same outcome
     where = house.path("builds", this_run.run_id, "checks")
-    house.check(built).coalesce(1).write.mode("overwrite").parquet(where)
+    house.check(built, this_run.run_id).coalesce(1).write.mode("overwrite").parquet(where)
     outcomes = spark.read.parquet(where)
     return Outcome(this_run.run_id, loads, outcomes, house.publish(this_run.run_id, outcomes))

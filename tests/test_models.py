@@ -201,3 +201,45 @@ def test_unknown_channel_is_a_payout_key_only(spark):
 def test_views_are_queryable(spark, built):
     settlement.register_views({name: built[name] for name in settlement.MARTS})
     assert spark.sql("select count(*) from fct_orders o join dim_date d on d.date_key = o.date_key").first()[0] == 65
+
+
+def as_rows(outcomes):
+    return sorted((r.check, r.severity, r.violations, r.status) for r in outcomes.collect())
+
+
+@pytest.mark.parametrize("planted", [False, True])
+def test_the_gate_in_one_pass_equals_every_rule_by_itself(built, planted):
+    marts = {name: built[name] for name in settlement.MARTS}
+    reconciled = built["int_settlement_reconciliation"]
+    if planted:
+        for name, key in checks.KEYS.items():  # a repeated row, a row without its key
+            again = marts[name].limit(1)
+            marts[name] = marts[name].unionByName(again).unionByName(again.withColumn(key, F.lit(None).cast(again.schema[key].dataType)))
+        facts = marts["fct_transactions"]
+        wrong = facts.limit(3).withColumns({"error_charges": F.lit(1).cast(facts.schema["error_charges"].dataType)})
+        marts["fct_transactions"] = facts.unionByName(wrong.withColumns({"channel_key": F.lit("Nowhere"), "transaction_type": F.lit("?")}))
+        orders = marts["fct_orders"]
+        late = orders.limit(2).withColumns({"date_key": F.lit(date(2020, 1, 1)), "payout_date_key": F.lit(None).cast("date")})
+        marts["fct_orders"] = orders.unionByName(late)
+        events = marts["fct_error_events"]
+        marts["fct_error_events"] = events.unionByName(events.where("is_recovered").withColumn("claim_type", F.lit("odd")))
+        marts["fct_payouts"] = marts["fct_payouts"].withColumn("net_total_variance", F.lit("0.01").cast("decimal(18,2)"))
+        reconciled = reconciled.withColumn("break_reason", F.lit("unexplained - investigate"))
+        marts = {name: frame.cache() for name, frame in marts.items()}
+    found = as_rows(checks.gate(marts, reconciled))
+    assert found == as_rows(checks.run_checks(checks.all_checks(marts, reconciled)))
+    assert len(found) == 32
+    failed = [f for f in found if f[3] != "pass"]
+    assert len(failed) == (25 if planted else 0), failed
+
+
+def test_the_gate_reads_a_mart_once_for_rows_and_once_for_values(spark, built, tmp_path):
+    marts = {}
+    for name in settlement.MARTS:
+        built[name].write.parquet(str(tmp_path / name))
+        marts[name] = spark.read.parquet(str(tmp_path / name))
+    reconciled = built["int_settlement_reconciliation"]
+    observed = spark.createDataFrame([("x", 0)], "check string, violations bigint")
+    plain, with_counts = checks.gate(marts, reconciled), checks.gate(marts, reconciled, observed=observed)
+    reads = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("Relation [transaction_key#")
+    assert (reads(plain), reads(with_counts)) == (2, 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -11,12 +12,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quittance.operators import anonymise, checks, dimensions, facts, netting, reconcile, recovery, reports, staging
-from quittance.plans.lineage import cut, store
-from quittance.sources import loading
+from quittance.plans import settlement
+from quittance.plans.lineage import cut, shared_folder, store
+from quittance.sources import loading, specs
 from workload.inputs import Tables
 
 Query = Callable[[Tables], DataFrame]
 
+RAW_EXPORTS = {
+    "transactions": specs.TRANSACTIONS,
+    "payouts": specs.PAYOUTS,
+    "error_charges": specs.ERROR_CHARGES,
+    "order_feed": specs.ORDER_FEED,
+    "product_mix": specs.PRODUCT_MIX,
+    "campaigns": specs.CAMPAIGNS,
+}
+
 
 def _wide(frame: DataFrame) -> DataFrame:
     """Sums of amounts as decimal(38,2), the oracle's type for them."""
@@ -191,6 +202,21 @@ def not_null(t: Tables) -> DataFrame:
     return checks.null_counts({name: build(t) for name, build in MARTS.items()})
 
 
+def _stored_models(t: Tables) -> dict[str, DataFrame]:
+    """Every model, what several read stored once, as a build does."""
+    raw = {e.staged: name for name, e in RAW_EXPORTS.items()}
+    staged = {s: staging.stage(t.raw(raw[s]), export) for s, export in settlement.STAGED.items()}
+    kept = (*settlement.SHARED, *settlement.MARTS)
+    return settlement.models(staged, lambda name, frame: store(frame) if name in kept else frame)
+
+
+def gate(t: Tables) -> DataFrame:
+    """All controls of a build in one pass per mart."""
+    built = _stored_models(t)
+    marts = {name: built[name] for name in settlement.MARTS}
+    return checks.gate(marts, built["int_settlement_reconciliation"])
+
+
 def latest_load_failures(t: Tables) -> DataFrame:
     day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     status = F.when(F.col("o_orderstatus") == "F", "OK").when(F.col("o_orderstatus") == "O", "FAILED")
@@ -206,6 +232,7 @@ def latest_load_failures(t: Tables) -> DataFrame:
 # ---- loading -------------------------------------------------------------------------------
 
 _RUN = loading.Run(datetime(2025, 3, 1, 6, 0, 0, 123456))
+_NEXT_RUN = loading.Run(datetime(2025, 3, 2, 6, 0, 0, 123456))
 _FEED = "sales_by_order.csv"
 
 
@@ -241,6 +268,45 @@ def load_counts(t: Tables) -> DataFrame:
     return loading.load_counts(loading.mark_new(incoming, loading.new_hashes(incoming, base)))
 
 
+def _two_loads(t: Tables) -> tuple[loading.RawStore, list[loading.LoadResult]]:
+    """The feed loaded by two runs into a new raw store: an early export, and the grown one."""
+    house, feed = loading.RawStore(t.spark, f"{shared_folder(t.spark)}/stored/{uuid.uuid4().hex}"), _feed(t)
+    early = feed.filter(F.col("`Order placed date`") < "1999-01-01")
+    results = []
+    for run, export in ((_RUN, early), (_NEXT_RUN, feed.union(feed.filter(F.col("`Is cancelled`") == "TRUE")))):
+        rows, new = house.append(export, _FEED, "orders", run)
+        results.append(loading.LoadResult(_FEED, "orders", rows, new, loading.OK))
+        house.write_log(results[-1:], run)
+    return house, results
+
+
+def loaded_rows(t: Tables) -> DataFrame:
+    """What two runs have loaded through the hash index, with the columns that a load adds."""
+    house, _ = _two_loads(t)
+    return house.read("orders").select(
+        F.col("`Order placed date`").alias("placed"),
+        F.col("_source_file").alias("source_file"),
+        F.col("_loaded_at").alias("loaded_at"),
+        F.col("_run_id").alias("run_id"),
+        F.col("_row_hash").alias("row_hash"),
+    )
+
+
+def load_log(t: Tables) -> DataFrame:
+    house, _ = _two_loads(t)
+    return house.log()
+
+
+def mapping_over_runs(t: Tables) -> DataFrame:
+    """The surrogate mapping after two runs, the second of which has met all ids."""
+    identities = anonymise.ids_of(anonymise.collect_identities([t.raw("scrub_source")]))
+    early = identities.where(F.length("value") <= 2)
+    house = settlement.Warehouse(t.spark, f"{shared_folder(t.spark)}/stored/{uuid.uuid4().hex}")
+    where = house.path("private", "surrogate_mapping")
+    house.number(early, where)
+    return house.number(identities, where)
+
+
 def freshness(t: Tables) -> DataFrame:
     now = datetime(2001, 11, 6, 13)
     loads = (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts"))
@@ -347,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "check_sign_convention": lambda t: checks.sign_convention(fct_transactions(t)),
     "check_credit_used_once": credit_used_once,
     "check_settles_within_lag": lambda t: checks.settles_within_lag(fct_orders(t)),
+    "gate": gate,
     "latest_load_failures": latest_load_failures,
     "report_match_rate": lambda t: reports.match_rate(reconciled(t)),
     "report_payout_self_check": lambda t: reports.payout_self_check(fct_payouts(t)),
@@ -356,10 +423,13 @@ QUERIES: dict[str, Query] = {
     "row_hashes": row_hashes,
     "row_hash_append": row_hash_append,
     "load_counts": load_counts,
+    "loaded_rows": loaded_rows,
+    "load_log": load_log,
     "freshness": freshness,
     "rows_per_file": rows_per_file,
     "export_names": export_names,
     "surrogate_ids": surrogate_ids,
+    "mapping_over_runs": mapping_over_runs,
     "real_names": real_names,
     "scrub_text": scrub_text,
     "anonymised_export": anonymised_export,
