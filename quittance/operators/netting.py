@@ -37,3 +37,19 @@ def net_orders(transactions: DataFrame, *, order_type: str = "Order") -> DataFra
         F.count_if(F.col("subtotal") < 0).alias("reversal_count"),
         *[F.sum(name).alias(name) for name in NETTED],
     )
+
+
+def merge_orders(parts: DataFrame) -> DataFrame:
+    """Netted orders of several sets of transactions as those of all of them together."""
+    return parts.groupBy("order_id").agg(
+        F.max("channel").alias("channel"),
+        F.min("first_event_at").alias("first_event_at"),
+        F.max("last_event_at").alias("last_event_at"),
+        F.min("order_date").alias("order_date"),
+        F.max("payout_date").alias("payout_date"),
+        F.max("final_order_status").alias("final_order_status"),
+        F.sum("transaction_count").alias("transaction_count"),
+        (F.sum("transaction_count") > 1).alias("has_reversal"),
+        F.sum("reversal_count").alias("reversal_count"),
+        *[F.sum(name).alias(name) for name in NETTED],
+    )

@@ -35,6 +35,11 @@ def roll_up(side: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     )
 
 
+def merge_rollups(parts: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
+    """Sums of several sets of rows as those of all of them together."""
+    return parts.groupBy("payout_date", "channel").agg(*[F.sum(m).alias(m) for m in measures])
+
+
 def compare(
     ledger: DataFrame, statement: DataFrame, measures: Sequence[str] = MEASURES
 ) -> DataFrame:

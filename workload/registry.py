@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from quittance.operators import anonymise, checks, dimensions, facts, netting, reconcile, recovery, reports, staging
-from quittance.plans import settlement
+from quittance.plans import incremental, settlement
 from quittance.plans.lineage import cut, shared_folder, store
 from quittance.sources import loading, specs
 from workload.inputs import Tables
@@ -217,6 +217,20 @@ def gate(t: Tables) -> DataFrame:
     return checks.gate(marts, built["int_settlement_reconciliation"])
 
 
+def _incremental(rollup: incremental.Rollup) -> Query:
+    """The rollup after three runs, each of which brings a third of the transactions."""
+
+    def run(t: Tables) -> DataFrame:
+        rows = transactions(t)
+        third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+        mart = incremental.IncrementalMart(t.spark, f"{shared_folder(t.spark)}/stored/{uuid.uuid4().hex}", rollup)
+        for n in range(3):
+            mart.update({f"run{n}": rows.where(third == n)})
+        return mart.read()
+
+    return run
+
+
 def latest_load_failures(t: Tables) -> DataFrame:
     day = F.substring(F.col("o_orderdate").cast("string"), 1, 10)
     status = F.when(F.col("o_orderstatus") == "F", "OK").when(F.col("o_orderstatus") == "O", "FAILED")
@@ -373,6 +387,8 @@ QUERIES: dict[str, Query] = {
     "staged_campaigns": campaigns,
     "clean_values": clean_values,
     "order_netting": netted,
+    "incremental_netting": _incremental(incremental.ORDERS),
+    "incremental_ledger": _incremental(incremental.LEDGER),
     "recovery_pairs": recovery_pairs,
     "recovery_pairs_wide_tolerance": lambda t: recovery_pairs(t, "5.005"),
     "recovery_pairs_one_to_one": lambda t: recovery_pairs(t, mode=recovery.ONE_TO_ONE),
