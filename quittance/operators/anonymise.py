@@ -2,8 +2,8 @@
 
 Ids get stable surrogates from a mapping table, names and addresses a fixed text, and
 free text loses every real name and embedded id. Nothing is collected on the driver:
-the mapping and the names are tables of any size, and texts meet names by equality on
-whole substrings rather than by trying every name on every text.
+the mapping and the names are tables of any size, and each text is searched for all names
+in one pass rather than once for every name.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quittance.plans.lineage import BROADCAST_ROWS, broadcast_if_small, cut
+from quittance.operators.name_search import occurring, shards_for
+from quittance.plans.lineage import cut
 from quittance.sources import specs
 from quittance.sources.specs import quoted
 
@@ -195,46 +196,22 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def _windows(text: Column, longest: int) -> Column:
-    """What starts at each character of a text, at most ``longest`` characters of it.
-
-    The text is cut into characters once; finding a place in it anew for each one would
-    grow with the square of its length. A lambda's variable is not computed again.
-    """
-    characters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    from_each = lambda c: F.transform(c, lambda _, i: F.array_join(F.slice(c, i + 1, F.lit(longest)), ""))
-    return F.transform(F.array(characters), from_each)[0]
-
-
 class _Names(NamedTuple):
-    """Distinct names in lower case with their lengths, and which lengths each head has."""
+    """Distinct names in lower case, and in how many shards they are sought."""
 
     folded: DataFrame
-    heads: DataFrame
-    head: int
-    longest: int
+    shards: int
 
     def due(self, state: DataFrame, *keys: str) -> DataFrame:
         """``keys`` and each name found in ``current`` of their row that comes after ``last``.
 
-        Names go longest first, then in alphabetical order. Every position of a text whose
-        first characters start some name is cut to the lengths such names have, and the
-        pieces meet the names by equality. That is at most one row per position and length,
-        no longer than the longest name, and each piece meets at most one name.
+        Names go longest first, then in alphabetical order.
         """
-        pieces = (
-            state.select(*keys, "last", F.explode(_windows(F.lower("current"), self.longest)).alias("window"))
-            .withColumn("head", F.substring("window", 1, self.head))
-            .join(self.heads, "head")
-            .select(*keys, "last", "window", F.explode("lengths").alias("length"))
-            .filter(F.col("length") <= F.length("window"))
-            .withColumn("folded", F.substring("window", F.lit(1), F.col("length")))
-        )
-        name = F.struct((-F.col("length")).alias("rank"), F.col("folded"))
+        texts = state.select(*keys, "last", F.lower("current").alias("text"))
+        found = occurring(texts, self.folded, "text", "folded", self.shards)
+        name = F.struct((-F.length("folded")).alias("rank"), F.col("folded")).alias("name")
         return (
-            pieces.select(*keys, "last", "folded", "length")
-            .join(self.folded.select("folded"), "folded")
-            .select(*keys, "last", name.alias("name"))
+            found.select(*keys, "last", name)
             .filter(F.col("last").isNull() | (F.col("name") > F.col("last")))
             .select(*keys, "name")
         )
@@ -256,21 +233,13 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     is still due and was not there before, the text goes on from that step in the next
     round. Rarely is there one.
     """
-    distinct = cut(
-        names.select(F.lower("name").alias("folded")).distinct().withColumn("length", F.length("folded"))
-    )
-    head, longest, count = distinct.agg(F.min("length"), F.max("length"), F.count("length")).first()
+    distinct = cut(names.select(F.lower("name").alias("folded")).distinct())
+    count, shards = shards_for(distinct, "folded")
     if count == 0:
         return texts
-    heads = distinct.groupBy(F.substring("folded", 1, head).alias("head")).agg(
-        F.collect_set("length").alias("lengths")  # distinct lengths, bounded by the longest name
-    )
-    # there are no more heads than names
-    heads = heads if count <= BROADCAST_ROWS else cut(heads)
-    heads, distinct = (broadcast_if_small(f, count, BROADCAST_ROWS) for f in (heads, distinct))
-    all_names = _Names(distinct, heads, head, longest)
+    all_names = _Names(distinct, shards)
     none_yet = F.lit(None).cast("struct<rank:int,folded:string>")
-    # numbered and kept, so that only a number goes with the many pieces of a text
+    # numbered and kept, so that only a number goes with a text's names
     active = cut(texts.select(F.monotonically_increasing_id().alias("id"), "text", "current", none_yet.alias("last")))
     finished = []
     while True:

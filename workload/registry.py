@@ -367,6 +367,26 @@ def scrub_text(t: Tables) -> DataFrame:
     )
 
 
+def scrub_documents(t: Tables) -> DataFrame:
+    """Every whole text of documents without names: the first two words of each benchmark item,
+    the nations, and the first letter of a nation as a name of one letter."""
+    nations = t.table("nation")
+    two_words = F.regexp_extract("text", r"^\S+ \S+", 0)
+    found = (
+        t.table("benchmark").select(two_words.alias("name"))
+        .union(nations.select("n_name"))
+        .union(nations.agg(F.substring(F.max("n_name"), 1, 1)))
+    )
+    documents = t.table("documents").select("doc_id", F.col("text").alias("t"))
+    texts = store(documents.select(F.col("t").alias("text")).distinct())
+    as_export = texts.select(F.col("text").alias("Campaign name"))
+    mapping = anonymise.number_ids(anonymise.ids_of(anonymise.collect_identities([as_export])))
+    scrubbed = anonymise.scrub_texts(texts, mapping, found.where("name <> ''").distinct())
+    return documents.join(scrubbed, F.col("t") == F.col("text"), "left").select(
+        "doc_id", F.md5(F.coalesce("scrubbed", "t")).alias("scrubbed_md5"), F.length(F.coalesce("scrubbed", "t")).alias("length")
+    )
+
+
 def anonymised_export(t: Tables) -> DataFrame:
     source = t.raw("scrub_source")
     clean, _ = anonymise.anonymise_all({"scrub_source": source})
@@ -448,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "mapping_over_runs": mapping_over_runs,
     "real_names": real_names,
     "scrub_text": scrub_text,
+    "scrub_documents": scrub_documents,
     "anonymised_export": anonymised_export,
 }
 
