@@ -6,17 +6,22 @@ hold n shards is split so that floor(n / 2) of n shares of its bytes come to the
 law is ``bytes``, shards of nearly equal size.
 
 How it runs on Spark: documents with equal text form one unit, placed by their smallest
-metadata, and stay in one shard. Only a unit heavier than a small part of a shard (copies may
-hold any share of the bytes) is cut into lots of its documents, by a hash. Units are narrow
-rows; no text is shuffled. All parts of a level are split at once: a median is found by
-narrowing a range of keys in which it lies, with the weights of 1024 bins of the range summed
-in each round (on the map side first), so only a few thousand numbers reach the driver,
-whatever the corpus. Slots are counted within hash buckets of a shard, offset by the buckets
-before, so no shard passes through one task.
+metadata, which stays in one shard while it fits there. Only a unit of more bytes than a shard
+is cut into lots of its documents, by a hash of their number. Units are narrow rows; no text is
+shuffled. Language and source count by their rank among the distinct values, found by a
+distributed sort. All parts of a level are split at once: a median is found by narrowing a
+range of keys in which it lies, with the weights of 1024 bins of the range summed in each round
+(on the map side first), so only a few thousand numbers reach the driver, whatever the corpus.
+Whole units above a LIGHT part of a shard, of which there can't be more than LIGHT times the
+shards, are split on the driver in the order of the same dimension, and the median of the
+others then makes up for what they lack or exceed. Slots are counted within hash buckets of a
+shard, offset by the buckets before, so no shard passes through one task.
 
 Defined results: a null or empty text weighs 8 bytes; null metadata sorts before all other;
-equal rows each have a slot; an empty table gives an empty result. lang and source may be
-missing from the input; other columns are ignored.
+equal rows each have a slot, and however many there are, they spread over shards and buckets
+like others; a text of any length is one document, so one longer than a fair share makes a
+shard heavier than others; an empty table gives an empty result. lang and source may be missing
+from the input; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +41,8 @@ from quittance.llm.common import narrow_batches, rows, slices, store, text_keys,
 SHARDS = 24
 #: Bytes that a document takes besides its text.
 OVERHEAD = 8
-#: A unit is cut where it weighs more than this part of a shard.
-LOT = 16
+#: Units above this part of a shard are split one by one; lots of a cut unit are no heavier.
+LIGHT = 64
 #: Bins of one round; a median is found when the bin with it weighs less than this part of a shard.
 BINS, CLOSE = 1024, 1000
 #: Documents numbered in one bucket of a shard, about.
@@ -65,27 +70,38 @@ def measured(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(_measures, "doc_id long, k1 long, k2 long, size long, text_crc32 long, lang string, source string")
 
 
-def _as_number(text: Column) -> Column:
-    """A string's first six bytes as a number, which keeps their order."""
-    digits = F.rpad(F.hex(F.encode(F.coalesce(text, F.lit("")), "UTF-8")), 12, "0")
-    return F.conv(digits, 16, 10).cast("double")
+def ranked(values: DataFrame, name: str) -> DataFrame:
+    """``name`` and its ``rank`` among the distinct values, 0 for the first; a null comes before them."""
+    distinct = values.where(F.col(name).isNotNull()).select(name).distinct()
+    # a partition number and a running one: in order, but with gaps between partitions
+    mono = store(distinct.sort(name).withColumn("mono", F.monotonically_increasing_id()))
+    placed = mono.select(name, F.shiftright("mono", 33).alias("part"), F.col("mono").bitwiseAND((1 << 33) - 1).alias("nth"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    sizes = placed.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    return placed.join(F.broadcast(sizes), "part").select(name, (F.col("before") + F.col("nth")).alias("rank"))
 
 
-def units(documents: DataFrame, lot_bytes: int) -> tuple[DataFrame, DataFrame]:
+def units(documents: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     """Documents with their lot, and the lots with weight and dimensions."""
-    key = ["k1", "k2"]
-    heavy = documents.groupBy(key).agg(F.sum("size").alias("bytes")).where(F.col("bytes") > lot_bytes)
-    # a lot is a fixed part of all bytes, so there are few heavy texts however many documents
+    key, lot_bytes = ["k1", "k2"], max(1, share // LIGHT)
+    heavy = documents.groupBy(key).agg(F.sum("size").alias("bytes")).where(F.col("bytes") > share)
+    # each has more than a shard's bytes, so there are fewer of them than shards
     heavy = F.broadcast(store(heavy.select(*key, F.ceil(F.col("bytes") / lot_bytes).cast("long").alias("lots"))))
-    lot = F.coalesce(F.pmod(F.xxhash64("doc_id"), "lots"), F.lit(0).cast("long")).alias("lot")
+    lot = F.coalesce(F.pmod(F.xxhash64("row"), "lots"), F.lit(0).cast("long")).alias("lot")
     in_lots = documents.join(heavy, key, "left").select(*documents.columns, lot)
-    grouped = in_lots.groupBy(*key, "lot").agg(
-        F.sum("size").alias("weight"),
-        F.log2(F.min("size").cast("double")).alias("d_size"),
-        F.min(_as_number(F.col("lang"))).alias("d_lang"),
-        F.min(_as_number(F.col("source"))).alias("d_source"),
-        F.coalesce(F.min("doc_id"), F.lit(-1)).cast("double").alias("d_id"),
+    grouped = store(
+        in_lots.groupBy(*key, "lot").agg(
+            F.sum("size").alias("weight"),
+            F.log2(F.min("size").cast("double")).alias("d_size"),
+            F.min("lang").alias("lang"),
+            F.min("source").alias("source"),
+            F.coalesce(F.min("doc_id"), F.lit(-1)).cast("double").alias("d_id"),
+        )
     )
+    for name in ("lang", "source"):
+        grouped = grouped.join(ranked(grouped, name), name, "left").withColumn(
+            f"d_{name}", F.coalesce("rank", F.lit(-1)).cast("double")
+        ).drop("rank", name)
     return in_lots, store(grouped.withColumn("tie", F.shiftrightunsigned(F.xxhash64("k1", "k2", "lot"), 64 - _TIE_BITS)))
 
 
@@ -147,57 +163,112 @@ def _medians(lots: DataFrame, sides: dict[int, tuple[str, float, float]], wanted
     return found
 
 
-def split(lots: DataFrame, shards: int, total: int) -> DataFrame:
-    """``lots`` with their ``shard``."""
-    lots = lots.withColumn("node", F.lit(0))
-    leaves = {0: (0, shards)}  # node: its first shard and how many it holds
+class Whole(NamedTuple):
+    """A unit that is placed by itself."""
+
+    key: tuple[int, int, int]
+    weight: int
+    at: dict[str, float]
+
+
+def _sides(wholes: list[Whole], along: str, wanted: float, others: float) -> tuple[list[Whole], list[Whole]]:
+    """The first units along a dimension as far as they fit, and the rest.
+
+    Where all the ``others`` together couldn't fill what is then left over, units cross as long
+    as that brings the left side nearer to what is wanted.
+    """
+    left, right, lack = [], [], wanted
+    for unit in sorted(wholes, key=lambda u: (u.at[along], u.key)):
+        if unit.weight <= lack:
+            left.append(unit)
+            lack -= unit.weight
+        else:
+            right.append(unit)
+    while right and lack > others:
+        unit = min(right, key=lambda u: (abs(lack - others - u.weight), u.key))
+        if abs(lack - others - unit.weight) >= lack - others:
+            break
+        right.remove(unit)
+        left.append(unit)
+        lack -= unit.weight
+    return left, right
+
+
+def _extents(lots: DataFrame, wholes: dict[int, list[Whole]], nodes: list[int]) -> dict[int, dict]:
+    """Each node's ``weight``, and the least and greatest of each dimension."""
     extent = [f(c).alias(f"{f.__name__}_{c}") for c in _DIMENSIONS for f in (F.min, F.max)]
-    whole = None
+    found = lots.where(F.col("node").isin(nodes)).groupBy("node").agg(F.sum("weight").alias("weight"), *extent).collect()
+    spans = {r["node"]: r.asDict() for r in found}
+    for node in nodes:
+        for unit in wholes.get(node, ()):
+            here = spans.setdefault(node, {"weight": 0} | {f"{f}_{c}": unit.at[c] for c in _DIMENSIONS for f in ("min", "max")})
+            here["weight"] += unit.weight
+            for c in _DIMENSIONS:
+                here[f"min_{c}"] = min(here[f"min_{c}"], unit.at[c])
+                here[f"max_{c}"] = max(here[f"max_{c}"], unit.at[c])
+    return spans
+
+
+def split(lots: DataFrame, shards: int, total: int) -> DataFrame:
+    """``k1, k2, lot`` and the ``shard`` of each lot."""
+    share = total / shards
+    heavy = lots.where(F.col("weight") > share / LIGHT).collect()  # fewer than LIGHT times the shards
+    wholes = {0: [Whole((r["k1"], r["k2"], r["lot"]), r["weight"], {c: r[c] for c in _DIMENSIONS}) for r in heavy]}
+    lots = lots.where(F.col("weight") <= share / LIGHT).withColumn("node", F.lit(0))
+    leaves, root = {0: (0, shards)}, None  # node: its first shard and how many it holds
     while any(n > 1 for _, n in leaves.values()):
-        open_nodes = [node for node, (_, n) in leaves.items() if n > 1]
-        spans = lots.where(F.col("node").isin(open_nodes)).groupBy("node").agg(F.sum("weight").alias("weight"), *extent).collect()
-        if whole is None:
+        spans = _extents(lots, wholes, [node for node, (_, n) in leaves.items() if n > 1])
+        if root is None:
             if not spans:
                 break
-            whole = {c: spans[0][f"max_{c}"] - spans[0][f"min_{c}"] for c in _DIMENSIONS}
-        sides, wanted = {}, {}
-        for r in spans:
-            spread = {c: r[f"max_{c}"] - r[f"min_{c}"] for c in _DIMENSIONS}
-            widest = max(_DIMENSIONS, key=lambda c: spread[c] / whole[c] if whole[c] else 0.0)
-            sides[r["node"]] = (widest, float(r[f"min_{widest}"]), float(spread[widest]))
-            n = leaves[r["node"]][1]
-            wanted[r["node"]] = r["weight"] * (n // 2) / n
-        medians = _medians(lots, sides, wanted, total / shards / CLOSE)
-        grown, parts = {}, []
+            root = {c: spans[0][f"max_{c}"] - spans[0][f"min_{c}"] for c in _DIMENSIONS}
+        sides, wanted, moved, grown = {}, {}, {}, {}
         for node, (first, n) in leaves.items():
             if n == 1:
-                grown[node] = (first, n)
+                grown[node], moved[node] = (first, n), wholes.get(node, [])
                 continue
             left, right = 2 * node + 1, 2 * node + 2
             grown |= {left: (first, n // 2), right: (first + n // 2, n - n // 2)}
-            if node in medians:
-                goes_left = Split(node, *sides[node], medians[node]).goes_left()
-                parts.append((node, F.when(goes_left, left).otherwise(right)))
-        moved = _by_node(parts) if parts else F.lit(None).cast("int")
-        lots, leaves = store(lots.withColumn("node", F.coalesce(moved, F.col("node")))), grown
-    return lots.withColumn("shard", _by_node([(node, F.lit(first)) for node, (first, _) in leaves.items()]))
+            if node not in spans:
+                continue
+            here = spans[node]
+            spread = {c: here[f"max_{c}"] - here[f"min_{c}"] for c in _DIMENSIONS}
+            widest = max(_DIMENSIONS, key=lambda c: spread[c] / root[c] if root[c] else 0.0)
+            goal = here["weight"] * (n // 2) / n
+            held = wholes.get(node, [])
+            moved[left], moved[right] = _sides(held, widest, goal, here["weight"] - sum(u.weight for u in held))
+            sides[node] = (widest, float(here[f"min_{widest}"]), float(spread[widest]))
+            # the lighter units make up for the whole ones
+            wanted[node] = goal - sum(u.weight for u in moved[left])
+        medians = _medians(lots, sides, wanted, share / CLOSE)
+        parts = []
+        for node, at in medians.items():
+            goes_left = Split(node, *sides[node], at).goes_left()
+            parts.append((node, F.when(goes_left, 2 * node + 1).otherwise(2 * node + 2)))
+        place = _by_node(parts) if parts else F.lit(None).cast("int")
+        lots = store(lots.withColumn("node", F.coalesce(place, F.col("node"))))
+        leaves, wholes = grown, moved
+    placed = lots.select("k1", "k2", "lot", _by_node([(node, F.lit(first)) for node, (first, _) in leaves.items()]).alias("shard"))
+    singles = [(*unit.key, leaves[node][0]) for node, held in wholes.items() for unit in held]
+    return placed.unionByName(lots.sparkSession.createDataFrame(singles, "k1 long, k2 long, lot long, shard int"))
 
 
 def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Every document with its size, checksum, shard and slot there."""
-    documents = store(measured(docs))
+    # the stored number tells equal rows apart, and stays the same when a task runs again
+    documents = store(measured(docs).withColumn("row", F.monotonically_increasing_id()))
     sums = documents.agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).first()
     total, count = sums["bytes"] or 0, sums["n"]
-    in_lots, lots = units(documents, max(1, total // (shards * LOT)))
-    placed = split(lots, shards, total).select("k1", "k2", "lot", "shard")
+    in_lots, lots = units(documents, max(1, total // shards))
+    placed = split(lots, shards, total)
     buckets = max(8, math.ceil(count / shards / BUCKET))
-    bucket = F.pmod(F.xxhash64("doc_id", "k1"), F.lit(buckets)).cast("int").alias("bucket")
-    found = in_lots.join(placed, ["k1", "k2", "lot"]).select("doc_id", "k1", "k2", "size", "text_crc32", "shard", bucket)
+    bucket = F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int").alias("bucket")
+    found = in_lots.join(placed, ["k1", "k2", "lot"]).select("doc_id", "row", "size", "text_crc32", "shard", bucket)
     found = store(found)
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = found.groupBy("shard", "bucket").count()
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "k1", "k2")
+    own = Window.partitionBy("shard", "bucket").orderBy("row")
     numbered = found.withColumn("own", F.row_number().over(own) - 1).join(offsets, ["shard", "bucket"])
     return numbered.select(
         "doc_id",
