@@ -223,10 +223,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Scores and predictions of all documents, and which of them the fit didn't see."""
-    scored = score(docs, fit(docs, labels)).select("doc_id", "score")
+    """Scores and predictions of all documents, which of them the fit didn't see, and the sentences
+    with evidence: their place in the text and their own score."""
+    scored = score(docs, fit(docs, labels))
     predicted = (F.col("score") >= THRESHOLD).cast("int")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"), "sentences"
+    )
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
