@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 
-from quittance.functions import key_of, or_empty
+from quittance.functions import key_of, or_empty, to_time
 from quittance.sources import specs
 from quittance.sources.specs import CASTS, LINEAGE, Export, quoted
 
 
-def stage(raw: DataFrame, export: Export) -> DataFrame:
+def stage(raw: DataFrame, export: Export, *, native_time: bool = False) -> DataFrame:
     """Typed view of a raw table, with its load lineage carried along.
 
-    A pure projection: an unused column is pruned down to the Parquet scan.
+    A pure projection: an unused column is pruned down to the Parquet scan. Times of day
+    are text, or with ``native_time`` Spark's TIME type, which a session has to switch on
+    by ``spark.sql.timeType.enabled``.
     """
     key = []
     if export.key:
         name, headings = export.key
         key = [key_of(*(or_empty(quoted(h)) for h in headings)).alias(name)]
-    typed = [CASTS[c.cast](quoted(c.heading)).alias(c.name) for c in export.columns]
+    casts = CASTS | ({"clock": partial(to_time, native=True)} if native_time else {})
+    typed = [casts[c.cast](quoted(c.heading)).alias(c.name) for c in export.columns]
     return raw.select(*key, *typed, *LINEAGE)
 
 
-def stage_order_feed(raw: DataFrame) -> DataFrame:
-    return stage(raw, specs.ORDER_FEED)
+def stage_order_feed(raw: DataFrame, *, native_time: bool = False) -> DataFrame:
+    return stage(raw, specs.ORDER_FEED, native_time=native_time)
 
 
 def stage_transactions(raw: DataFrame) -> DataFrame:

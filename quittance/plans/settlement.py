@@ -42,9 +42,9 @@ SHARED = ("stg_transactions", "stg_payout_summary", "stg_error_charges", "int_se
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def stage_all(raw: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+def stage_all(raw: Callable[[str], DataFrame], *, native_time: bool = False) -> dict[str, DataFrame]:
     """Every staging view; ``raw`` gives a raw table by its name."""
-    return {name: stage(raw(export.table), export) for name, export in STAGED.items()}
+    return {name: stage(raw(export.table), export, native_time=native_time) for name, export in STAGED.items()}
 
 
 def models(staged: Mapping[str, DataFrame], keep: Keep = lambda name, frame: frame) -> dict[str, DataFrame]:

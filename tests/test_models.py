@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from scenarios import Scenario, frame
 
-from quittance.operators import checks, reports
+from quittance.operators import checks, reports, staging
 from quittance.plans import settlement
 from quittance.sources import specs
 
@@ -243,3 +243,14 @@ def test_the_gate_reads_a_mart_once_for_rows_and_once_for_values(spark, built, t
     plain, with_counts = checks.gate(marts, reconciled), checks.gate(marts, reconciled, observed=observed)
     reads = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("Relation [transaction_key#")
     assert (reads(plain), reads(with_counts)) == (2, 1)
+
+
+def test_times_of_day_as_text_or_as_time(spark):
+    rows = Scenario().exports()["sales_by_order"]
+    raw = frame(spark, rows, specs.ORDER_FEED)
+    text = staging.stage_order_feed(raw).select("order_feed_key", "order_placed_time", "delivery_time")
+    native = staging.stage_order_feed(raw, native_time=True).select(*text.columns)
+    assert [t for _, t in text.dtypes] == ["string"] * 3
+    assert [t.startswith("time") for _, t in native.dtypes] == [False, True, True]
+    as_text = native.select("order_feed_key", *[F.col(c).cast("string").alias(c) for c in text.columns[1:]])
+    assert sorted(map(repr, as_text.collect())) == sorted(map(repr, text.collect()))
