@@ -9,9 +9,11 @@ universe this is exact, and no page is joined with the list.
 How it runs on Spark: distinct keys are kept as 128-bit hashes. A level is filled by numpy in
 each task and combined by words of 64 bits; the next level's keys are those of the one before
 last that pass it, a narrow scan of a set that shrinks about 50-fold each time. The listed
-keys are dealt by hash into shards of at most SHARD keys, which bounds every filter; a page
-is put to one cascade after the other, all in one pass while they fit CASCADES_AT_ONCE, else
-with the pages stored in between.
+keys are dealt by hash into shards of at most SHARD keys, which bounds every filter. With several
+shards the universe is stored by shard, so that a cascade is built from its own keys alone, and
+with more than a task holds at once (CASCADES_AT_ONCE) the pages are stored by the group of
+shards that may list them, so that each meets only that group's cascades: both are read twice
+in all, however many shards there are.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule
 and is never listed; equal rows are judged each; null page_ids stay; an empty table gives an
@@ -22,12 +24,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from quittance.llm.common import rows, store, text_keys, text_list
 
@@ -125,10 +129,12 @@ def build(keys: DataFrame) -> list[Cascade]:
     """Cascades for the distinct ``keys`` (``h1``, ``h2``, ``listed``) of the whole universe."""
     total = keys.where("listed").count()
     of = max(1, math.ceil(total / SHARD))
+    # as uint64 in numpy: the sign bit counts
+    number = F.pmod(F.pmod("h1", F.lit(of)) + (F.col("h1") < 0).cast("long") * ((1 << 64) % of), F.lit(of)).cast("int")
+    dealt = store(keys.withColumn("shard", number), "shard") if of > 1 else keys.withColumn("shard", F.lit(0))
     cascades = []
     for shard in range(of if total else 0):
-        # as uint64 in numpy: the sign bit counts
-        own = keys.where(F.pmod(F.pmod("h1", F.lit(of)) + (F.col("h1") < 0).cast("long") * ((1 << 64) % of), F.lit(of)) == shard)
+        own = dealt.where(F.col("shard") == shard).drop("shard")
         inside, outside, levels = own.where("listed"), own.where("not listed"), []
         n = inside.count()
         while n:
@@ -168,14 +174,29 @@ def _mark(cascades: list[Cascade]):
     return run
 
 
+def _grouped(of: int, at_once: int):
+    """Which group of cascades may list a key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.ascontiguousarray(text_keys(text_list(batch.column("key")))[:, 0])
+            group = (keys.view(np.uint64) % np.uint64(of) // np.uint64(at_once)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(group)], [*batch.schema.names, "group"])
+
+    return run
+
+
 def mark(pages: DataFrame, cascades: list[Cascade]) -> DataFrame:
     """``pages`` with a ``key`` column, and ``listed``: whether the key is."""
     pages = pages.withColumn("listed", F.lit(False))
-    for at in range(0, len(cascades), CASCADES_AT_ONCE):
-        pages = pages.mapInArrow(_mark(cascades[at : at + CASCADES_AT_ONCE]), pages.schema)
-        if at + CASCADES_AT_ONCE < len(cascades):
-            pages = store(pages)
-    return pages
+    if len(cascades) <= CASCADES_AT_ONCE:
+        return pages.mapInArrow(_mark(cascades), pages.schema)
+    dealt = pages.mapInArrow(_grouped(len(cascades), CASCADES_AT_ONCE), StructType([*pages.schema.fields, StructField("group", IntegerType())]))
+    stored, found = store(dealt, "group"), []
+    for group, at in enumerate(range(0, len(cascades), CASCADES_AT_ONCE)):
+        own = stored.where(F.col("group") == group).select(pages.columns)
+        found.append(own.mapInArrow(_mark(cascades[at : at + CASCADES_AT_ONCE]), pages.schema))
+    return reduce(DataFrame.unionByName, found)
 
 
 class Rule(NamedTuple):

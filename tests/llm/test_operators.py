@@ -387,13 +387,15 @@ def test_cascade_is_exact_and_rules_win(spark):
     assert url_cascade.judge(pages, listed.where("false")).where("rule is null and verdict = 'block'").count() == 0
 
 
-def test_shards_of_a_list_agree_with_one(spark, monkeypatch):
+@pytest.mark.parametrize("at_once", [8, 2])
+def test_shards_of_a_list_agree_with_one(spark, monkeypatch, at_once):
+    monkeypatch.setattr(url_cascade, "CASCADES_AT_ONCE", at_once)
     keys = spark.createDataFrame([(f"k{i}", i % 3 == 0) for i in range(2000)], "key string, listed boolean")
     monkeypatch.setattr(url_cascade, "SHARD", 100)
     cascades = url_cascade.build(url_cascade.hashed(keys).cache())
     assert len(cascades) == 7
     marked = url_cascade.mark(keys.drop("listed"), cascades)
-    assert marked.exceptAll(keys).count() == 0
+    assert marked.exceptAll(keys).count() == 0 and marked.count() == 2000
 
 
 def test_records_point_to_their_response(spark, tmp_path):
