@@ -232,9 +232,10 @@ class RawStore:
         """Load one export; returns rows in the file and rows inserted.
 
         Counted while writing, after the join, so in the job's last stage: its tasks
-        report once each, even when executors are lost and tasks run again. The hashed
-        export is stored for the time of the load: the file is parsed once, looking for new
-        hashes reads one column of it, and a run that lost a commit to another looks again.
+        report once each, even when executors are lost and tasks run again. The file is
+        parsed once: into an empty table it goes as it is, otherwise the hashed export is
+        stored for the time of the load, looking for new hashes reads one column of it, and
+        a run that lost a commit to another looks again.
         """
         arriving = f"{self.root}/arriving/{table}/{run.run_id}"
         incoming = None
@@ -242,20 +243,24 @@ class RawStore:
             while True:
                 number, runs = self._begun(table)
                 earlier = [r for r in runs if r != run.run_id]
-                if incoming is None:
-                    order = self._order(export, file_name, table, earlier)
-                    incoming = self._keep(with_load_columns(export, file_name, run, order), f"{arriving}/rows")
-                fresh = self._fresh(incoming, table, earlier, f"{arriving}/new_hashes")
-                counts = self._write(mark_new(incoming, fresh), table, run)
+                if earlier:
+                    if incoming is None:
+                        order = self._order(export, file_name, table, earlier)
+                        incoming = self._keep(with_load_columns(export, file_name, run, order), f"{arriving}/rows")
+                    fresh = self._fresh(incoming, table, earlier, f"{arriving}/new_hashes")
+                    counts = self._write(mark_new(incoming, fresh), table, run)
+                else:
+                    counts = self._write(mark_new(with_load_columns(export, file_name, run), None), table, run)
                 if self.commits(table).commit(number + 1, [*earlier, run.run_id]):
-                    self._enter(table, run.run_id)
+                    self.index(table).add(run.run_id, self._hashes(table, run.run_id).distinct())
                     return counts
+                if incoming is None:  # all rows are in this run's folder, which the next attempt overwrites
+                    written = self._keep(self._read_runs(table, [run.run_id]), f"{arriving}/whole")
+                    export = written.select(*[quoted(c) for c in source_columns(written.columns)])
         finally:
             remove(self.spark, arriving)
 
-    def _order(self, export: DataFrame, file_name: str, table: str, earlier: Sequence[str]) -> list[str] | None:
-        if not earlier:
-            return None
+    def _order(self, export: DataFrame, file_name: str, table: str, earlier: Sequence[str]) -> list[str]:
         order, arrived = source_columns(self._read_runs(table, earlier).columns), source_columns(export.columns)
         if set(order) != set(arrived):
             raise SchemaChanged(
@@ -267,13 +272,8 @@ class RawStore:
     def _hashes(self, table: str, run_id: str) -> DataFrame:
         return self._read_runs(table, [run_id]).select(_packed().alias(HASH))
 
-    def _enter(self, table: str, run_id: str) -> None:
-        self.index(table).add(run_id, self._hashes(table, run_id).distinct())
-
-    def _fresh(self, incoming: DataFrame, table: str, earlier: Sequence[str], path: str) -> DataFrame | None:
-        """The incoming hashes that no earlier run has; None if there is no earlier run."""
-        if not earlier:
-            return None
+    def _fresh(self, incoming: DataFrame, table: str, earlier: Sequence[str], path: str) -> DataFrame:
+        """The incoming hashes that no earlier run has."""
         index = self.index(table)
         index.catch_up(earlier, lambda run_id: self._hashes(table, run_id))
         return self._keep(index.unknown(incoming.select(_packed().alias(HASH)), earlier), path)
