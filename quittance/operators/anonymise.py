@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quittance.operators.name_search import occurring, shards_for
-from quittance.plans.lineage import cut
+from quittance.plans.lineage import BROADCAST_ROWS, broadcast_if_small, cut
 from quittance.sources import specs
 from quittance.sources.specs import quoted
 
@@ -272,17 +272,21 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
             .groupBy("id")
             .agg(F.min("step").alias("step"))
         )
-        ended = steps.join(born, "id", "left")
+        reborn = born.count()
+        # texts at each of their steps stay where they are, unless very many go on
+        ended = steps.join(broadcast_if_small(born, reborn, BROADCAST_ROWS), "id", "left")
         finished.append(
             ended.filter(F.col("step").isNull()).select("text", F.element_at("steps", -1).alias("current"))
         )
-        if born.isEmpty():
+        if not reborn:
             return reduce(DataFrame.union, finished)
-        active = ended.filter(F.col("step").isNotNull()).select(
-            "id",
-            "text",
-            F.element_at("steps", F.col("step") + 1).alias("current"),
-            F.element_at("names", F.col("step")).alias("last"),
+        active = cut(
+            ended.filter(F.col("step").isNotNull()).select(
+                "id",
+                "text",
+                F.element_at("steps", F.col("step") + 1).alias("current"),
+                F.element_at("names", F.col("step")).alias("last"),
+            )
         )
 
 

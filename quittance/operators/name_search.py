@@ -5,6 +5,8 @@ number of bytes. A task takes one shard and one split of the texts: it compiles
 names into an automaton (an Aho-Corasick machine, from pyahocorasick) and runs each text
 through it once, whatever the number of names or the length of the longest. Names move once
 per split, texts once per shard, and there is one shard unless there are very many names.
+Splits too are of a bounded number of bytes, so that their number grows with the texts and
+what one task reads does not.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of names in one automaton, which takes about fifty times as many.
 SHARD_BYTES = 4 << 20
+#: Bytes of texts in one split, many times those of the names that go with it.
+SPLIT_BYTES = 64 << 20
 
 
 def shards_for(names: DataFrame, name: str, limit: int = SHARD_BYTES) -> tuple[int, int]:
@@ -25,13 +29,21 @@ def shards_for(names: DataFrame, name: str, limit: int = SHARD_BYTES) -> tuple[i
     return count, max(1, -(-size // limit))
 
 
-def occurring(texts: DataFrame, names: DataFrame, text: str, name: str, shards: int) -> DataFrame:
+def splits_for(texts: DataFrame, text: str, limit: int = SPLIT_BYTES) -> int:
+    """How many splits the texts need: one per core at least."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length(text).cast("bigint")), F.lit(0))).first()[0]
+    return max(1, texts.sparkSession.sparkContext.defaultParallelism, -(-size // limit))
+
+
+def occurring(
+    texts: DataFrame, names: DataFrame, text: str, name: str, shards: int, split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
     """The rows of ``texts`` without ``text``, once for each distinct ``name`` that occurs in it.
 
     ``names`` holds distinct, non-empty names. Nothing is folded here: give both in one case.
+    ``texts`` is read twice, first for its size, so store it.
     """
-    spark = texts.sparkSession
-    splits = max(1, spark.sparkContext.defaultParallelism)
+    splits = splits_for(texts, text, split_bytes)
     kept = [c for c in texts.columns if c != text]
     packed = F.struct(*kept).alias("row")
     shard = F.pmod(F.xxhash64(name), F.lit(shards)).cast("int").alias("shard")
@@ -41,7 +53,9 @@ def occurring(texts: DataFrame, names: DataFrame, text: str, name: str, shards:
     dealt_names = names.select(shard, all_splits, F.lit(0).alias("is_text"), F.col(name).alias("text"))
     dealt_texts = texts.select(all_shards, split, F.lit(1).alias("is_text"), F.col(text).alias("text"), packed)
     dealt = dealt_texts.unionByName(dealt_names, allowMissingColumns=True)
-    dealt = dealt.repartition(shards * splits, "shard", "split").sortWithinPartitions("shard", "split", "is_text")
+    # by number, so that no two splits share a task
+    number = (F.col("shard") * splits + F.col("split")).cast("int")
+    dealt = dealt.repartitionById(shards * splits, number).sortWithinPartitions("shard", "split", "is_text")
     kind = dealt.schema["row"].dataType.simpleString()
     found = dealt.mapInArrow(_search, f"row {kind}, name string")
     return found.select("row.*", F.col("name").alias(name))
