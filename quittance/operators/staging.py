@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from quittance.functions import key_of, or_empty, to_time
+from quittance.session import keep_compiled
 from quittance.sources import specs
 from quittance.sources.specs import CASTS, LINEAGE, Export, quoted
 
@@ -16,8 +17,9 @@ def stage(raw: DataFrame, export: Export, *, native_time: bool = False) -> DataF
 
     A pure projection: an unused column is pruned down to the Parquet scan. Times of day
     are text, or with ``native_time`` Spark's TIME type, which a session has to switch on
-    by ``spark.sql.timeType.enabled``.
+    by ``spark.sql.timeType.enabled``. The session is held to methods that the JVM compiles.
     """
+    keep_compiled(raw.sparkSession)
     key = []
     if export.key:
         name, headings = export.key

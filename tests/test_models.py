@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from scenarios import Scenario, frame
 
+from quittance import session
 from quittance.operators import checks, reports, staging
 from quittance.plans import settlement
 from quittance.sources import specs
@@ -254,3 +255,15 @@ def test_times_of_day_as_text_or_as_time(spark):
     assert [t.startswith("time") for _, t in native.dtypes] == [False, True, True]
     as_text = native.select("order_feed_key", *[F.col(c).cast("string").alias(c) for c in text.columns[1:]])
     assert sorted(map(repr, as_text.collect())) == sorted(map(repr, text.collect()))
+
+
+def test_staging_holds_a_session_to_methods_that_are_compiled(spark):
+    limit, before = session.METHOD_LIMIT, spark.conf.get(session.METHOD_LIMIT)
+    raw = spark.createDataFrame([], ", ".join(f"`{c.heading}` string" for c in specs.TRANSACTIONS.columns) + ", _source_file string, _loaded_at timestamp_ntz, _row_hash string")
+    try:
+        for given, kept in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(limit, given)
+            staging.stage_transactions(raw)
+            assert spark.conf.get(limit) == kept
+    finally:
+        spark.conf.set(limit, before)
