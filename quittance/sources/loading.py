@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quittance.functions import or_empty
+from quittance.session import keep_compiled
 from quittance.sources.commits import CommitLog
 from quittance.sources.exports import committed_folders, list_exports, path_exists, read_export, remove
 from quittance.sources.hash_index import BUCKETS, HASH, HashIndex
@@ -97,6 +98,7 @@ def with_load_columns(
     ``order`` is the column order to hash in: that of the table, so that a reordered
     header still gives a known row its known hash.
     """
+    keep_compiled(export.sparkSession)
     columns = list(order or source_columns(export.columns))
     stamped = export.select(
         *[quoted(c) for c in columns],

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from scenarios import Scenario, write_csv
 
 from quittance.plans.settlement import Warehouse
+from quittance.session import METHOD_LIMIT
 from quittance.sources import exports, loading, specs
 from quittance.sources.exports import dataset_name, list_exports, read_export, write_export
 from quittance.sources.loading import FAILED, MISSING, OK, RawStore, Run
@@ -258,3 +259,13 @@ def test_stream_loads_new_files_once(store, spark, tmp_path):
     assert drain() == 4
     assert drain() == 4
     assert [(r.rows_in_file, r.rows_inserted) for r in store.log().orderBy("loaded_at").collect()] == [(3, 3), (4, 1)]
+
+
+def test_loading_holds_a_session_to_methods_that_are_compiled(spark):
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        spark.conf.set(METHOD_LIMIT, "65535")
+        loading.with_load_columns(spark.createDataFrame([("a",)], "A string"), "a.csv", Run(datetime(2025, 3, 1)))
+        assert spark.conf.get(METHOD_LIMIT) == "8000"
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
