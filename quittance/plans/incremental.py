@@ -77,11 +77,11 @@ class IncrementalMart:
         typed = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in parts.schema.fields])
         return typed.withColumn(MONTH, _month())
 
-    def _of(self, frame: DataFrame, keys: DataFrame) -> DataFrame:
-        """The rows of some keys; a missing key equals a missing one."""
+    def _of(self, frame: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+        """The rows of some keys, or with ``left_anti`` of all others; a missing key equals a missing one."""
         wanted = keys.select(*[F.col(k).alias(f"__{k}") for k in self.rollup.keys])
         same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.rollup.keys])
-        return frame.join(wanted, same, "left_semi")
+        return frame.join(wanted, same, how)
 
     def update(self, rows_of: Mapping[str, DataFrame]) -> list[str | None]:
         """Take in the staged rows of runs by run id; the months written. Runs already included do nothing."""
@@ -104,18 +104,24 @@ class IncrementalMart:
     def _rewrite(self, schema: StructType, included: list[str], fresh: list[str]) -> list[str | None]:
         keys = list(self.rollup.keys)
         parts, new = self._parts([*included, *fresh], schema), self._parts(fresh, schema)
-        changed = store(new.select(*keys).distinct())
-        # where the changed keys come to stand, and where they have stood; a row per month
-        found = self._merged(self._of(parts, changed)).select(MONTH)
         mart = self._mart(schema)
+        # each key is merged once: the changed ones first, since they tell which months are due;
+        # stored, for the mart that is about to be overwritten is part of the lineage
+        if not included:  # what is new is all there is
+            changed, rows = new.select(*keys), store(self._merged(new))
+        else:
+            changed = store(new.select(*keys).distinct())
+            rows = store(self._merged(self._of(parts, changed)))
+        # where the changed keys come to stand, and where they have stood; a row per month
+        found = rows.select(MONTH)
         if mart is not None:
             found = found.unionByName(self._of(mart, changed).select(MONTH))
         months = [r[0] for r in found.distinct().collect()]
         if mart is not None:
-            changed = changed.unionByName(mart.where(_in(months)).select(*keys)).distinct()
-        # stored: the mart that is about to be overwritten is part of its lineage
-        rows = store(self._merged(self._of(parts, changed)))
-        rows.repartition(MONTH).write.partitionBy(MONTH).mode("overwrite").option(
+            others = self._of(mart.where(_in(months)).select(*keys), changed, how="left_anti").distinct()
+            rows = rows.unionByName(store(self._merged(self._of(parts, others))))
+        # by month, and a large month over several tasks
+        rows.hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(f"{self.folder}/mart")
         left = {r[0] for r in rows.select(MONTH).distinct().collect()}

@@ -125,3 +125,21 @@ def test_a_mart_without_runs(spark, tmp_path):
         mart.read()
     assert mart.update({"a": frame(spark, []).where(F.lit(False))}) == []
     assert mart.read().count() == 0 if (tmp_path / "ledger_by_payout" / "mart").exists() else mart.runs() == ["a"]
+
+
+def test_a_run_merges_each_key_once(spark, tmp_path):
+    merged = []
+
+    def merge(parts):
+        merged.append(parts.count())
+        return netting.merge_orders(parts)
+
+    counted = incremental.Rollup("order_netting", ("order_id",), netting.net_orders, merge)
+    mart = incremental.IncrementalMart(spark, str(tmp_path), counted)
+    first, second = rows(20, 200, [1, 2]), rows(21, 200, [1, 2])
+    parts = [netting.net_orders(frame(spark, listed)).count() for listed in (first, second)]
+    mart.update({"run0": frame(spark, first)})
+    assert sum(merged) == parts[0]
+    merged.clear()
+    mart.update({"run1": frame(spark, second)})
+    assert sum(merged) <= sum(parts)
