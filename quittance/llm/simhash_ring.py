@@ -286,7 +286,8 @@ def links(distinct: DataFrame, ring: Ring = Ring(), run: int = RUN) -> DataFrame
     )
     pairs = groups.where("n = 2").select("u", "v").distinct().where(ring.linked(F.col("u"), F.col("v")))
     more = groups.where("n > 2").select(*key, "n")
-    members = store(keyed.join(more, key))
+    # both sides move: Spark takes the exploded keys for as small as the fingerprints and would broadcast them
+    members = store(keyed.join(more.hint("merge"), key))
     small = members.where(F.col("n") <= run).select(*key, "fp")
     # by count, not by bytes: the rows are narrow, the comparisons are not
     tasks = max(1, members.count() // ROWS_OF_TASK)

@@ -155,6 +155,22 @@ def test_links_lose_no_connection(spark, run):
     assert same(got) == same(expected)
 
 
+def test_exploded_keys_are_not_broadcast(spark, monkeypatch):
+    plans, store = [], simhash_ring.store
+
+    def planned(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return store(frame)
+
+    monkeypatch.setattr(simhash_ring, "store", planned)
+    # the first 200 of 1,000 lie three to a place, one bit apart
+    values = [(i // 3 << 40 | 1 << i % 3) if i < 200 else random.Random(i).getrandbits(63) for i in range(1000)]
+    found = simhash_ring.links(spark.createDataFrame([(v,) for v in values], "fp long"))
+    assert found.count()
+    joined = [p for p in plans if "explode" in p and "Join" in p]
+    assert joined and not any("BroadcastHashJoin" in p for p in joined)
+
+
 def test_quality_counts_and_verdicts(docs, no_docs):
     expected = Counter()
     for doc_id, text in ROWS:
