@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quittance.session import CODEC
+
 BROADCAST_ROWS = 200_000
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -43,10 +45,19 @@ def store(frame: DataFrame) -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/stored/{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", CODEC).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished queries go.
+
+    They stay on the executors' disks until the driver collects the objects that stand for them,
+    which are too few to bring that about: without this, a run of many queries keeps most of them.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def broadcast_if_small(stored: DataFrame, rows: int, limit: int) -> DataFrame:
     """A broadcast hint for a frame of narrow rows if its counted ``rows`` allow it.
 

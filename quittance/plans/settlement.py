@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from quittance.operators import anonymise as anon
 from quittance.operators import checks, dimensions, facts, netting, reconcile, recovery
 from quittance.operators.staging import stage
-from quittance.plans.lineage import cut
+from quittance.plans.lineage import cut, release
 from quittance.sources.commits import CommitLog
-from quittance.sources.exports import list_exports, path_exists, read_export, remove, write_export
+from quittance.sources.exports import list_exports, path_exists, read_export, remove, write_export, write_table
 from quittance.sources.loading import OK, LoadResult, RawStore, Run, freshness
 from quittance.sources.specs import EXPORTS, LOAD_LOG
 
@@ -202,10 +202,11 @@ class Warehouse:
             where, rules = self.path("builds", run_id, name), checks.row_counts(name)
             if rules:
                 seen = Observation(f"{name}-{run_id}")
-                frame.observe(seen, *rules).write.mode("overwrite").parquet(where)
+                write_table(frame.observe(seen, *rules), where)
                 counted.extend(seen.get.items())
             else:
-                frame.write.mode("overwrite").parquet(where)
+                write_table(frame, where)
+            release(self.spark)
             return self.spark.read.schema(frame.schema).parquet(where)
 
         built = models(stage_all(self.raw.read), keep)

@@ -19,6 +19,10 @@ CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+#: Codec of tables that are kept. Hashes and ids as text are most of a row: their hexadecimal digits take half a
+#: byte each, which a codec without an entropy coder, as Spark's default, leaves at one.
+CODEC = "zstd"
+
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 
 

@@ -6,9 +6,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quittance.session import CODEC
 from quittance.sources import specs
 
 
+def write_table(frame: DataFrame, path: str) -> None:
+    """A Parquet folder in place of what was there."""
+    frame.write.mode("overwrite").option("compression", CODEC).parquet(path)
+
+
 def read_export(
     spark: SparkSession, path: str | list[str], *, multi_line: bool = False, separator: str = ","
 ) -> DataFrame:

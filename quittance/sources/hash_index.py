@@ -17,6 +17,7 @@ from collections.abc import Callable, Collection, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quittance.session import CODEC
 from quittance.sources.exports import file_system
 
 HASH = "_packed_hash"
@@ -45,6 +46,7 @@ class HashIndex:
         system.mkdirs(path)
         self.spark.sql(
             f"create table if not exists {self.name} ({HASH} binary, run string, slice int) using parquet "
+            f"options (compression '{CODEC}') "
             f"partitioned by (run, slice) clustered by ({HASH}) sorted by ({HASH}) into {self.buckets} buckets "
             f"location '{self.folder}'"
         )

@@ -23,9 +23,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quittance.functions import or_empty
+from quittance.plans.lineage import release
 from quittance.session import keep_compiled
 from quittance.sources.commits import CommitLog
-from quittance.sources.exports import committed_folders, list_exports, path_exists, read_export, remove
+from quittance.sources.exports import committed_folders, list_exports, path_exists, read_export, remove, write_table
 from quittance.sources.hash_index import BUCKETS, HASH, HashIndex
 from quittance.sources.specs import (
     EXPORTS,
@@ -261,6 +262,7 @@ class RawStore:
                     export = written.select(*[quoted(c) for c in source_columns(written.columns)])
         finally:
             remove(self.spark, arriving)
+            release(self.spark)
 
     def _order(self, export: DataFrame, file_name: str, table: str, earlier: Sequence[str]) -> list[str]:
         order, arrived = source_columns(self._read_runs(table, earlier).columns), source_columns(export.columns)
@@ -281,7 +283,7 @@ class RawStore:
         return self._keep(index.unknown(incoming.select(_packed().alias(HASH)), earlier), path)
 
     def _keep(self, frame: DataFrame, path: str) -> DataFrame:
-        frame.write.mode("overwrite").parquet(path)
+        write_table(frame, path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def _write(self, marked: DataFrame, table: str, run: Run) -> tuple[int, int]:
@@ -290,9 +292,7 @@ class RawStore:
             counts, F.count(F.lit(1)).alias("rows"), F.count_if("_is_new").alias("new")
         )
         # a retry of this run replaces what its failed attempt left behind
-        observed.filter("_is_new").drop("_is_new").write.mode("overwrite").parquet(
-            f"{self.path(table)}/{run.run_id}"
-        )
+        write_table(observed.filter("_is_new").drop("_is_new"), f"{self.path(table)}/{run.run_id}")
         return counts.get["rows"], counts.get["new"]
 
     def write_log(self, results: Sequence[LoadResult], run: Run) -> None:

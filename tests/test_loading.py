@@ -269,3 +269,11 @@ def test_loading_holds_a_session_to_methods_that_are_compiled(spark):
         assert spark.conf.get(METHOD_LIMIT) == "8000"
     finally:
         spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_kept_tables_take_half_a_byte_a_digit(spark, store):
+    frame = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("id"))
+    assert store.append(frame, "small.csv", "small", run(1)) == (20_000, 20_000)
+    # an id and a row hash of 32 digits each, which take 65 bytes with Spark's own codec
+    assert 32 < exports.size_of(spark, store.path("small")) / 20_000 < 45
+    assert store.read("small").where(F.col("id") == hashlib.md5(b"7").hexdigest()).count() == 1
