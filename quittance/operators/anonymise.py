@@ -15,8 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quittance.operators.name_search import occurring, shards_for
-from quittance.plans.lineage import BROADCAST_ROWS, broadcast_if_small, cut
+from quittance.operators.name_search import occurring, shards_for, splits_for
+from quittance.plans.lineage import BROADCAST_ROWS, broadcast_if_small, cut, release, store
 from quittance.sources import specs
 from quittance.sources.specs import quoted
 
@@ -167,10 +167,12 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
     """``text, current`` with every embedded business id replaced.
 
     A text is cut at its ids, the ids meet the mapping one row each, and the pieces are
-    put together again; a group is one text, never more. An id that the mapping lacks stops
-    the query: it must neither stay nor shift the others.
+    put together again; a group is one text, never more. Texts without ids don't move. An id that
+    the mapping lacks stops the query: it must neither stay nor shift the others.
     """
     ids = F.regexp_extract_all("text", F.lit(_EMBEDDED), F.lit(1))
+    some = F.coalesce(F.size(ids) > 0, F.lit(False))
+    plain, texts = texts.where(~some).select("text", F.col("text").alias("current")), texts.where(some)
     business = mapping.filter(F.col("kind") == "business_id").select("value", "surrogate")
     replaced = (
         texts.select("text", F.posexplode(ids).alias("nth", "value"))
@@ -191,9 +193,7 @@ def replace_embedded_ids(texts: DataFrame, mapping: DataFrame) -> DataFrame:
             "",
         ),
     )
-    return texts.join(replaced, "text", "left").select(
-        "text", F.when(F.col("ids").isNull(), F.col("text")).otherwise(rebuilt).alias("current")
-    )
+    return plain.union(texts.join(replaced, "text").select("text", rebuilt.alias("current")))
 
 
 class _Names(NamedTuple):
@@ -202,13 +202,38 @@ class _Names(NamedTuple):
     folded: DataFrame
     shards: int
 
-    def due(self, state: DataFrame, *keys: str) -> DataFrame:
-        """``keys`` and each name found in ``current`` of their row that comes after ``last``.
+    def due(self, state: DataFrame, current: Column) -> DataFrame:
+        """``id`` and each name found in the ``current`` text of the row that comes after ``last``.
 
         Names go longest first, then in alphabetical order.
         """
-        texts = state.select(*keys, "last", F.lower("current").alias("text"))
-        found = occurring(texts, self.folded, "text", "folded", self.shards)
+        texts = state.select("id", "last", F.lower(current).alias("text"))
+        return self._after_last(occurring(texts, self.folded, "text", "folded", self.shards), "id")
+
+    def due_between(self, named: DataFrame, current: Column) -> DataFrame:
+        """``id``, ``step`` and each name that is due in the text after so many of its ``names`` went."""
+
+        def after_each(row: Column, text: Column) -> Column:
+            steps = F.aggregate(
+                row["names"], F.array(text), lambda done, name: F.concat(done, F.array(_without(F.element_at(done, -1), name)))
+            )
+            return F.transform(
+                F.slice(steps, F.lit(2), F.size(row["names"])),
+                lambda step, i: F.struct(
+                    F.lower(step).alias("text"),
+                    F.struct(row["id"].alias("id"), (i + 1).alias("step"), F.get(row["names"], i).alias("last")).alias("row"),
+                ),
+            )
+
+        texts = named.filter(F.col("names").isNotNull()).select("id", "names", current.alias("text"))
+        # texts get no longer by a step
+        most = texts.select(F.explode(F.array_repeat("text", F.size("names"))).alias("text"))
+        found = occurring(
+            texts, self.folded, "text", "folded", self.shards, splits=splits_for(most, "text"), each=after_each
+        )
+        return self._after_last(found, "id", "step")
+
+    def _after_last(self, found: DataFrame, *keys: str) -> DataFrame:
         name = F.struct((-F.length("folded")).alias("rank"), F.col("folded")).alias("name")
         return (
             found.select(*keys, "last", name)
@@ -231,7 +256,8 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
     each text and takes them out one after the other. Taking one out can bring another
     together, so the text after each step is searched again: where a name turns up that
     is still due and was not there before, the text goes on from that step in the next
-    round. Rarely is there one.
+    round. Rarely is there one. Texts are most of what is kept and moved: a round keeps them
+    with their names, and what they are after each step is worked out where it is needed.
     """
     distinct = cut(names.select(F.lower("name").alias("folded")).distinct())
     count, shards = shards_for(distinct, "folded")
@@ -239,53 +265,49 @@ def remove_names(texts: DataFrame, names: DataFrame) -> DataFrame:
         return texts
     all_names = _Names(distinct, shards)
     none_yet = F.lit(None).cast("struct<rank:int,folded:string>")
+    spark, is_same = texts.sparkSession, F.col("current").eqNullSafe(F.col("text"))
     # numbered and kept, so that only a number goes with a text's names
-    active = cut(texts.select(F.monotonically_increasing_id().alias("id"), "text", "current", none_yet.alias("last")))
+    active = store(
+        texts.select(
+            F.monotonically_increasing_id().alias("id"),
+            "text",
+            is_same.alias("is_same"),
+            F.when(~is_same, F.col("current")).alias("current"),
+            none_yet.alias("last"),
+        )
+    )
+    now = F.when(F.col("is_same"), F.col("text")).otherwise(F.col("current"))
     finished = []
     while True:
-        found = (
-            all_names.due(active, "id")
+        release(spark)
+        found = store(
+            all_names.due(active, now)
             .groupBy("id")
             .agg(F.array_sort(F.collect_set("name")).alias("names"))  # those of one text
         )
-        after_each = F.aggregate(
-            "names",
-            F.array("current"),
-            lambda done, name: F.concat(done, F.array(_without(F.element_at(done, -1), name))),
-        )
-        steps = cut(
-            active.join(found, "id", "left").select(
-                "id", "text", "names", F.coalesce(after_each, F.array("current")).alias("steps")
-            )
-        )
-        between = (
-            steps.filter(F.col("names").isNotNull())
-            .select("id", "names", F.posexplode("steps").alias("step", "current"))
-            .filter(F.col("step") > 0)
-            .withColumn("last", F.element_at("names", F.col("step")))
-        )
+        release(spark)  # a search has moved the texts, and so will what comes next
+        named = store(active.drop("last").join(found, "id", "left"))
+        release(spark)
         born = cut(
-            all_names.due(between, "id", "step")
+            all_names.due_between(named, now)
             .distinct()
-            .join(steps.select("id", "names"), "id")
+            .join(named.select("id", "names"), "id")
             .filter(~F.array_contains("names", F.col("name")))
             .groupBy("id")
             .agg(F.min("step").alias("step"))
         )
         reborn = born.count()
         # texts at each of their steps stay where they are, unless very many go on
-        ended = steps.join(broadcast_if_small(born, reborn, BROADCAST_ROWS), "id", "left")
-        finished.append(
-            ended.filter(F.col("step").isNull()).select("text", F.element_at("steps", -1).alias("current"))
-        )
+        ended = named.join(broadcast_if_small(born, reborn, BROADCAST_ROWS), "id", "left")
+        taken = F.slice("names", F.lit(1), F.coalesce("step", F.size("names")))
+        after = F.when(F.col("names").isNull(), now).otherwise(F.aggregate(taken, now, _without)).alias("current")
+        finished.append(ended.filter(F.col("step").isNull()).select("text", after))
         if not reborn:
+            release(spark)
             return reduce(DataFrame.union, finished)
-        active = cut(
+        active = store(
             ended.filter(F.col("step").isNotNull()).select(
-                "id",
-                "text",
-                F.element_at("steps", F.col("step") + 1).alias("current"),
-                F.element_at("names", F.col("step")).alias("last"),
+                "id", "text", F.lit(False).alias("is_same"), after, F.element_at("names", F.col("step")).alias("last")
             )
         )
 

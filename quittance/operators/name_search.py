@@ -11,10 +11,10 @@ what one task reads does not.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of names in one automaton, which takes about fifty times as many.
@@ -36,14 +36,23 @@ def splits_for(texts: DataFrame, text: str, limit: int = SPLIT_BYTES) -> int:
 
 
 def occurring(
-    texts: DataFrame, names: DataFrame, text: str, name: str, shards: int, split_bytes: int = SPLIT_BYTES
+    texts: DataFrame,
+    names: DataFrame,
+    text: str,
+    name: str,
+    shards: int,
+    split_bytes: int = SPLIT_BYTES,
+    splits: int | None = None,
+    each: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """The rows of ``texts`` without ``text``, once for each distinct ``name`` that occurs in it.
 
+    With ``each`` a row and its text stand for several: it makes of them an array of structs of a
+    ``text`` and a ``row`` to search in. Those don't move, they are made where the text has gone.
     ``names`` holds distinct, non-empty names. Nothing is folded here: give both in one case.
-    ``texts`` is read twice, first for its size, so store it.
+    Without ``splits``, ``texts`` is read twice, first for its size, so store it.
     """
-    splits = splits_for(texts, text, split_bytes)
+    splits = splits or splits_for(texts, text, split_bytes)
     kept = [c for c in texts.columns if c != text]
     packed = F.struct(*kept).alias("row")
     shard = F.pmod(F.xxhash64(name), F.lit(shards)).cast("int").alias("shard")
@@ -56,6 +65,11 @@ def occurring(
     # by number, so that no two splits share a task
     number = (F.col("shard") * splits + F.col("split")).cast("int")
     dealt = dealt.repartitionById(shards * splits, number).sortWithinPartitions("shard", "split", "is_text")
+    if each:
+        made = each(F.col("row"), F.col("text"))
+        kind = dealt.select(made.alias("made")).schema["made"].dataType.elementType["row"].dataType
+        itself = F.array(F.struct(F.col("text"), F.lit(None).cast(kind).alias("row")))
+        dealt = dealt.select("shard", "split", "is_text", F.inline(F.when(F.col("is_text") == 1, made).otherwise(itself)))
     kind = dealt.schema["row"].dataType.simpleString()
     found = dealt.mapInArrow(_search, f"row {kind}, name string")
     return found.select("row.*", F.col("name").alias(name))

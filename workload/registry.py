@@ -402,9 +402,11 @@ def scrub_documents(t: Tables) -> DataFrame:
     as_export = texts.select(F.col("text").alias("Campaign name"))
     mapping = anonymise.number_ids(anonymise.ids_of(anonymise.collect_identities([as_export])))
     scrubbed = anonymise.scrub_texts(texts, mapping, found.where("name <> ''").distinct())
-    return documents.join(scrubbed, F.col("t") == F.col("text"), "left").select(
-        "doc_id", F.md5(F.coalesce("scrubbed", "t")).alias("scrubbed_md5"), F.length(F.coalesce("scrubbed", "t")).alias("length")
-    )
+    # a text is met again by its hash, and what is asked of it goes along instead of itself
+    asked = lambda text: F.struct(F.md5(text).alias("scrubbed_md5"), F.length(text).alias("length"))
+    of_text = scrubbed.select(F.unhex(F.sha2("text", 256)).alias("key"), asked("scrubbed").alias("found"))
+    as_it_is = documents.select("doc_id", F.unhex(F.sha2("t", 256)).alias("key"), asked("t").alias("plain"))
+    return as_it_is.join(of_text, "key", "left").select("doc_id", F.coalesce("found", "plain").alias("x")).select("doc_id", "x.*")
 
 
 def anonymised_export(t: Tables) -> DataFrame:
