@@ -318,7 +318,8 @@ class Found:
         own = F.transform("owners", lambda owner, k: F.when(owner < F.col("id"), F.col("at") + k))
         removed = (
             passages.select("c1", "c2", *key, "id", "at")
-            .join(owners, ["c1", "c2"])
+            # both sides move: the lists of owners are many times larger than in the file, whose size Spark goes by
+            .join(owners.hint("merge"), ["c1", "c2"])
             .select(*key, F.filter(own, lambda start: start.isNotNull()).alias("starts"))
             .where(F.size("starts") > 0)
             .groupBy(key)

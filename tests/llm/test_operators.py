@@ -263,6 +263,19 @@ def test_repeated_windows_go(docs, no_docs, monkeypatch, hot):
     assert phrase_automata.digests(no_docs).count() == 0
 
 
+def test_owners_of_windows_are_not_broadcast(docs, monkeypatch):
+    plans, store = [], phrase_automata.store
+
+    def planned(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return store(frame)
+
+    monkeypatch.setattr(phrase_automata, "store", planned)
+    phrase_automata.Found(docs)
+    joined = [p for p in plans if "collect_list" in p and "Join" in p]
+    assert joined and not any("BroadcastHashJoin" in p for p in joined)
+
+
 def test_pieces_fill_sequences(docs, no_docs):
     tokenizer, expected = tokens.load(tokens.default_path()), Counter()
     for doc_id, text in ROWS:
